@@ -4,15 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rawscan.llm import chat, exact_dedup, licenses, line_dedup, mixing
+from rawscan.llm import bpe, chat, exact_dedup, language, licenses, line_dedup, mixing
 from rawscan.llm.common import table
 
+#: The vocabulary of op3; the file is read where it lies and never copied.
+BPE_VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary_path(name: str = BPE_VOCABULARY) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.fit(docs))
+    return found.select("doc_id", (language.fold() == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
 
 def op2_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(docs, mixing.WEIGHTS, mixing.BLOCK_ROWS).drop("source")
 
 
+def op3_bpe(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def op4_chat_format(spark, sf_dir):
     return chat.chat_format(table(spark, sf_dir, "conversations"))
 
@@ -34,7 +53,7 @@ def op10_license_scan(spark, sf_dir):
 def queries():
     return {
         f.__name__: f
-        for f in (op2_mix, op4_chat_format, op5_exact_dedup, op6_line_dedup, op10_license_scan)
+        for f in (op1_language_id, op2_mix, op3_bpe, op4_chat_format, op5_exact_dedup, op6_line_dedup, op10_license_scan)
     }
 
 
