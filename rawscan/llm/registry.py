@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rawscan.llm import bpe, chat, exact_dedup, language, licenses, line_dedup, mixing, topk
+from rawscan.llm import bpe, chat, exact_dedup, jaccard, language, licenses, line_dedup, mixing, topk
 from rawscan.llm.common import table
 
 #: The vocabulary of op3; the file is read where it lies and never copied.
@@ -46,6 +46,10 @@ def op6_line_dedup(spark, sf_dir):
     )
 
 
+def op8_ngram_jaccard(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), topk.K, topk.EVERY)
 
@@ -57,7 +61,7 @@ def op10_license_scan(spark, sf_dir):
 def queries():
     return {
         f.__name__: f
-        for f in (op1_language_id, op2_mix, op3_bpe, op4_chat_format, op5_exact_dedup, op6_line_dedup, op9_top_k, op10_license_scan)
+        for f in (op1_language_id, op2_mix, op3_bpe, op4_chat_format, op5_exact_dedup, op6_line_dedup, op8_ngram_jaccard, op9_top_k, op10_license_scan)
     }
 
 
