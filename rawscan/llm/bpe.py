@@ -252,18 +252,21 @@ def encoded(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col:
     counts as empty and gives no ids and an empty text. Words of any length are merged whole, in n log n. Repeated rows
     give repeated results, empty input none; further columns are ignored.
     """
-    return _mapped(docs, vocab_path, id_col, text_col, "ids array<int>, decoded string", lambda ids, text: (ids, text))
+    return _mapped(docs, vocab_path, (id_col,), text_col, "ids array<int>, decoded string", lambda ids, text: (ids, text))
 
 
-def digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """As encoded(), with n_tokens, ids_sha256 and decoded_sha256 in place of the ids and the text, which stay in Python."""
-    return _mapped(docs, vocab_path, id_col, text_col, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", None)
+def digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """As encoded(), with n_tokens, ids_sha256 and decoded_sha256 in place of the ids and the text, which stay in Python.
+
+    Columns of keep are passed on.
+    """
+    return _mapped(docs, vocab_path, (id_col, *keep), text_col, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", None)
 
 
-def _mapped(docs, vocab_path, id_col, text_col, columns, keep) -> DataFrame:
+def _mapped(docs, vocab_path, passed, text_col, columns, keep) -> DataFrame:
     vocab = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(vocab_path))
-    kind = docs.schema[id_col].dataType.simpleString()
-    names = [id_col, *[c.strip().split(" ")[0] for c in columns.split(",")]]
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed)
+    names = [*passed, *[c.strip().split(" ")[0] for c in columns.split(",")]]
     types = [pa.list_(pa.int32()), pa.string()] if keep else [pa.int64(), pa.string(), pa.string()]
 
     def run(batches):
@@ -280,16 +283,16 @@ def _mapped(docs, vocab_path, id_col, text_col, columns, keep) -> DataFrame:
                     yield len(ids), sha(",".join(map(names_of.__getitem__, ids)).encode()), sha(text.encode())
 
         for batch in batches:
-            texts, at, sizes = batch.column(1), 0, batch.column(2).to_pylist()
+            texts, at, sizes = batch.column(0), 0, batch.column(1).to_pylist()
             while at < len(texts):
                 end, chars = at, 0
                 while end < len(texts) and (end == at or chars + sizes[end] <= CHARS):
                     chars += sizes[end]
                     end += 1
                 done = list(zip(*rows(texts.slice(at, end - at).to_pylist()), strict=True))
-                arrays = [batch.column(0).slice(at, end - at), *[pa.array(v, t) for v, t in zip(done, types, strict=True)]]
+                arrays = [*[c.slice(at, end - at) for c in batch.columns[2:]], *[pa.array(v, t) for v, t in zip(done, types, strict=True)]]
                 yield pa.RecordBatch.from_arrays(arrays, names)
                 at = end
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(id_col, text.alias("_text"), F.length(text).alias("_n")).mapInArrow(run, f"`{id_col}` {kind}, {columns}")
+    return docs.select(text.alias("_text"), F.length(text).alias("_n"), *passed).mapInArrow(run, f"{schema}, {columns}")

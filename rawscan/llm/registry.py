@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rawscan.llm import bpe, chat, exact_dedup, jaccard, language, licenses, line_dedup, mixing, topk
+from rawscan.llm import bpe, chat, exact_dedup, jaccard, language, licenses, line_dedup, mixing, secrets, topk
 from rawscan.llm.common import table
 
 #: The vocabulary of op3; the file is read where it lies and never copied.
@@ -46,6 +46,12 @@ def op6_line_dedup(spark, sf_dir):
     )
 
 
+def op7_secret_scan(spark, sf_dir):
+    model = secrets.forest(secrets.labelled_findings(spark))
+    found = secrets.secret_scan(table(spark, sf_dir, "documents"), model)
+    return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), F.round("score", 6).alias("score"), "is_secret")
+
+
 def op8_ngram_jaccard(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -61,7 +67,7 @@ def op10_license_scan(spark, sf_dir):
 def queries():
     return {
         f.__name__: f
-        for f in (op1_language_id, op2_mix, op3_bpe, op4_chat_format, op5_exact_dedup, op6_line_dedup, op8_ngram_jaccard, op9_top_k, op10_license_scan)
+        for f in (op1_language_id, op2_mix, op3_bpe, op4_chat_format, op5_exact_dedup, op6_line_dedup, op7_secret_scan, op8_ngram_jaccard, op9_top_k, op10_license_scan)
     }
 
 
