@@ -14,7 +14,7 @@ from rawscan.llm.common import dropped, hot_keys, replicated, salted, stored, st
 from rawscan.llm.components import components
 
 #: Words whose hashes a worker remembers; tokens that it holds before it hands them on.
-REMEMBERED, HELD = 400_000, 1_500_000
+REMEMBERED, HELD = 250_000, 1_000_000
 #: Tokens of a bucket, about, and buckets at least.
 BUCKET_TOKENS, MIN_BUCKETS = 2_000_000, 32
 #: Tables of up to so many rows (of some 20 bytes) are broadcast; larger ones are joined by shuffle.
