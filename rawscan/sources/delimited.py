@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rawscan import args
 from rawscan.errors import RawScanError
+from rawscan.shipping import ship
 from rawscan.sources.text import decoded, records
 from rawscan.storage import pinned, unchanged
 
@@ -122,6 +123,7 @@ def csv_load(
     has_header, whole = args.optional_boolean("HEADER", header, True), args.optional_boolean("MULTILINE", multiline, False)
     charset, split = args.charset(encoding), args.split_size_bytes(split_size_mb)
     pin = pinned(spark, target)
+    ship(spark)
     if whole:
         return _whole(spark, pin, sep, has_header, charset)
     lines = records(spark, pin, "\n", charset, split).select(F.regexp_replace("value", "\\r$", "").alias("value"), "first")

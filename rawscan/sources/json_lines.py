@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from rawscan import args
 from rawscan.errors import RawScanError
+from rawscan.shipping import ship
 from rawscan.sources.text import records
 from rawscan.storage import pinned
 
@@ -134,6 +135,7 @@ def json_load(
     target = args.require_path(path)
     charset, split, rows = args.charset(encoding), args.split_size_bytes(split_size_mb), args.sample_rows(schema_sample_rows)
     pin = pinned(spark, target)
+    ship(spark)
     lines = records(spark, pin, "\n", charset, split).select(F.regexp_replace("value", "\\r$", "").alias("value"))
     lines = lines.where(~F.col("value").rlike(_BLANK))
     columns = infer(islice((r.value for r in lines.limit(rows).collect()), rows)) | additional(additional_columns)

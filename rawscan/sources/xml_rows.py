@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rawscan import args
 from rawscan.errors import RawScanError
+from rawscan.shipping import ship
 from rawscan.storage import pinned, unchanged
 
 
@@ -138,6 +139,7 @@ def xml_load(
     errors = args.require_string("INVALID_ROW_COLUMN", invalid_row_column).strip()
     charset = args.charset(encoding)
     pin = pinned(spark, target)
+    ship(spark)
     scan = unchanged(spark.read.format("binaryFile").load(pin.path), pin).select("content")
 
     def text_of(raw: bytes) -> str:
