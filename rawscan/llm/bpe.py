@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rawscan.shipping import ship
+
 #: Longest word in bytes that is merged together with others of its length class; longer ones have a tree of their own.
 TOGETHER = 128
 #: Distinct words whose ids a worker remembers, and characters that it takes at a time.
@@ -264,6 +266,7 @@ def digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col:
 
 
 def _mapped(docs, vocab_path, passed, text_col, columns, keep) -> DataFrame:
+    ship(docs.sparkSession)
     vocab = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(vocab_path))
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed)
     names = [*passed, *[c.strip().split(" ")[0] for c in columns.split(",")]]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rawscan.llm.common import dropped, hot_keys, replicated, salted, stored, stored_at
 from rawscan.llm.components import components
+from rawscan.shipping import ship
 
 #: Words whose hashes a worker remembers; tokens that it holds before it hands them on.
 REMEMBERED, HELD = 250_000, 1_000_000
@@ -391,6 +392,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5, id_co
     ignored.
     """
     spark = docs.sparkSession
+    ship(spark)
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     buckets = max(MIN_BUCKETS, -(-docs.count() * 256 // BUCKET_TOKENS))
     signed, signed_path = stored_at(_signed(base, width, percent, buckets), "signed")

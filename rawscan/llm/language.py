@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rawscan.shipping import ship
+
 UND = "und"
 #: Every byte but ASCII letters and those above them separates words.
 _WORD_BYTES = bytes(b if chr(b).islower() or b >= 0x80 else 0x20 for b in range(256))
@@ -209,6 +211,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     model's threshold. Whole texts are read, in pieces of bounded size. Repeated rows give repeated results, empty
     input none. The model has a fixed size and is broadcast.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     passed = [id_col, *keep]
     taken = docs.select(F.col(text_col).alias("_text"), *passed)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rawscan.shipping import ship
+
 #: Vectors that are bounded at a time; vectors of a group at most, and the number of groups at least; queries of a block.
 BLOCK, GROUP, GROUPS, QUERIES = 1024, 65_536, 32, 256
 #: Rows that the rotation is fitted on (the index sample; every row is indexed), and the longest rows that give first bounds.
@@ -140,6 +142,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     are ignored.
     """
     spark = vectors.sparkSession
+    ship(spark)
     base = quantised(vectors, id_col, vector_col)
     total = base.agg(F.count(F.lit(1)).alias("n"), F.max("length2").alias("m")).first()
     if (total.m or 0) >= _EXACT:
