@@ -61,8 +61,8 @@ def pinned(spark: SparkSession, path: str) -> Pin:
 def unchanged(scan: DataFrame, pin: Pin) -> DataFrame:
     """scan, failing on the first row if the file that it lists is not as it was pinned.
 
-    A scan keeps the size that it has listed, so an object that grows later is read as it was. On S3A the client also
-    compares etags while it reads (see config).
+    This covers the time from the pin to the scan's own listing. Changes after that are the file system's to notice: S3A
+    compares etags while it reads (see config), a local file system notices nothing.
     """
     same = (F.col("_metadata.file_size") == pin.size) & (F.unix_millis("_metadata.file_modification_time") == pin.modified_ms)
     return scan.where(F.when(same, True).otherwise(F.raise_error(F.lit(f"Object changed during the query: {pin.path}")).cast("boolean")))
