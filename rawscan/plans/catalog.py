@@ -126,7 +126,7 @@ _EVENTS = "TABLE(raw.json.load(path => '{events.jsonl}'))"
 _ORDERS = "TABLE(raw.csv.load(path => '{orders.csv}'))"
 _CUSTOMERS = "(SELECT CAST(split_part(line, '|', 1) AS bigint) AS k, split_part(line, '|', 2) AS name, split_part(line, '|', 3) AS seg FROM TABLE(raw.txt.load(path => '{customer.txt}')))"
 _EXACT = "count(*) AS n, min({0}) AS lo, max({0}) AS hi, sum({0}) AS total"
-_EXACT_ORACLE = "SELECT 25000 AS n, 1 AS lo, 25000 AS hi, 312512500 AS total"
+_EXACT_ORACLE = "SELECT 25000::BIGINT AS n, 1::BIGINT AS lo, 25000::BIGINT AS hi, 312512500::BIGINT AS total"
 _QUERIES = {
     "json_load_all": Query(f"SELECT event_id, user_id, event_type, value, props FROM {_EVENTS}", "SELECT event_id, user_id, event_type, value, replace(props, ': ', ':') AS props FROM events"),
     "json_project": Query(f"SELECT event_type, count(*) AS n, sum(user_id) AS users FROM {_EVENTS} GROUP BY event_type", "SELECT event_type, count(*) AS n, sum(user_id)::BIGINT AS users FROM events GROUP BY event_type"),
@@ -159,7 +159,7 @@ _QUERIES = {
     "host_join": Query(f"SELECT c.seg, count(*) AS n, min(CAST(o.o_totalprice AS double)) AS lo, max(CAST(o.o_totalprice AS double)) AS hi FROM {_ORDERS} o JOIN {_CUSTOMERS} c ON CAST(o.o_custkey AS bigint) = c.k GROUP BY c.seg", "SELECT c_mktsegment AS seg, count(*) AS n, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1"),
     "host_groupby_rollup": Query(f"SELECT o_orderstatus, o_orderpriority, count(*) AS n, count(DISTINCT o_custkey) AS custs FROM {_ORDERS} GROUP BY ROLLUP (o_orderstatus, o_orderpriority)", "SELECT o_orderstatus, o_orderpriority, count(*) AS n, count(DISTINCT o_custkey) AS custs FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)"),
     "host_cube_grouping_sets": Query(f"SELECT o_orderstatus, o_orderpriority, grouping_id() AS g, count(*) AS n FROM {_ORDERS} GROUP BY GROUPING SETS ((o_orderstatus, o_orderpriority), (o_orderpriority), ())", "SELECT o_orderstatus, o_orderpriority, grouping(o_orderstatus, o_orderpriority) AS g, count(*) AS n FROM orders GROUP BY GROUPING SETS ((o_orderstatus, o_orderpriority), (o_orderpriority), ())"),
-    "host_window": Query(f"SELECT CAST(o_custkey AS bigint) AS cust, CAST(o_orderkey AS bigint) AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderkey AS bigint)) AS nth, count(*) OVER (PARTITION BY o_custkey) AS n, lag(CAST(o_orderkey AS bigint)) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderkey AS bigint)) AS before FROM {_ORDERS}", "SELECT o_custkey AS cust, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS nth, count(*) OVER (PARTITION BY o_custkey) AS n, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before FROM orders"),
+    "host_window": Query(f"SELECT CAST(o_custkey AS bigint) AS cust, CAST(o_orderkey AS bigint) AS k, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderkey AS bigint)) AS bigint) AS nth, count(*) OVER (PARTITION BY o_custkey) AS n, lag(CAST(o_orderkey AS bigint)) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderkey AS bigint)) AS before FROM {_ORDERS}", "SELECT o_custkey AS cust, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS nth, count(*) OVER (PARTITION BY o_custkey) AS n, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before FROM orders"),
     "host_setops": Query(f"(SELECT CAST(o_custkey AS bigint) AS k FROM {_ORDERS} INTERSECT SELECT k FROM {_CUSTOMERS}) EXCEPT SELECT k FROM {_CUSTOMERS} WHERE k % 7 = 0 UNION ALL SELECT -1", "(SELECT o_custkey AS k FROM orders INTERSECT SELECT c_custkey FROM customer) EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0 UNION ALL SELECT -1"),
     "host_topk": Query(f"SELECT CAST(o_orderkey AS bigint) AS k, CAST(o_totalprice AS double) AS price FROM {_ORDERS} ORDER BY price DESC, k LIMIT 20", "SELECT o_orderkey AS k, o_totalprice AS price FROM orders ORDER BY price DESC, k LIMIT 20"),
     "host_semi_anti": Query(f"SELECT 'semi' AS kind, k FROM {_CUSTOMERS} c WHERE EXISTS (SELECT 1 FROM {_ORDERS} o WHERE CAST(o.o_custkey AS bigint) = c.k) UNION ALL SELECT 'anti', k FROM {_CUSTOMERS} c WHERE NOT EXISTS (SELECT 1 FROM {_ORDERS} o WHERE CAST(o.o_custkey AS bigint) = c.k)", "SELECT CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) THEN 'semi' ELSE 'anti' END AS kind, c_custkey AS k FROM customer"),

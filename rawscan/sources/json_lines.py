@@ -95,12 +95,15 @@ def additional(text: str) -> dict[str, T.DataType]:
 
 
 def _valid(value: Column) -> Column:
-    """Whether a line is one JSON object and nothing else: wrapped into an array it must give one element."""
+    """Whether a line is one JSON object and nothing else.
+
+    An array around the line must hold one object, and an object around it must be well-formed. The parser stops where
+    the outer value ends; what could end the array early, a bracket after the object, is no end of the outer object.
+    """
     options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-    wrapped = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<struct<`\u0001`:string>>", options)
-    closed = F.regexp_replace(F.regexp_replace(value, '\\\\.', ""), '"[^"]*"', "")  # without strings
-    one = wrapped.isNotNull() & (F.size(wrapped) == 1) & F.get(wrapped, F.lit(0)).isNotNull()
-    return one & value.rlike("^[ \\t\\r\\n]*\\{") & value.rlike("\\}[ \\t\\r\\n]*$") & ~closed.rlike("\\][ \\t\\r\\n]*\\{[ \\t\\r\\n]*\\}[ \\t\\r\\n]*$")
+    listed = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<struct<`\u0001`:string>>", options)
+    held = F.from_json(F.concat(F.lit('{"v":'), value, F.lit("}")), "struct<v:struct<`\u0001`:string>>", options)
+    return listed.isNotNull() & (F.size(listed) == 1) & F.get(listed, F.lit(0)).isNotNull() & held["v"].isNotNull()
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

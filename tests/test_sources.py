@@ -104,7 +104,7 @@ def test_json_rows(spark, put):
     assert rows(df.orderBy("event_id")) == [(1, '{"source":"app","tags":["a","b"]}', None), (3, None, "bye")]
 
 
-@pytest.mark.parametrize("bad", ["not-json", "[1,2,3]", '{"a":1} x', '{"a":1}]{}', '{"a":1}, {"a":2}', "null", '{"a":NaN}', '{"a":1}}', "{'a':1}", '{"a"'])
+@pytest.mark.parametrize("bad", ["not-json", "[1,2,3]", '{"a":1} x', '{"a":1}]{}', '{"a":1}, {"a":2}', "null", '{"a":NaN}', '{"a":1}}', "{'a':1}", '{"a"', '{"a":1}]{"x":1}', '{"a":1}],"x":{}', '{"a":1}],[{"b":2}', '{"a":1},"b":{"c":2}', '{"a":1}} {', '{"a":1},', '{"a":1} {"b":2}', '{"a":01}', '{"a":1,}'])
 def test_json_is_validated_when_no_columns_are_projected(spark, put, bad):
     df = sources.json_load(spark, put("bad.jsonl", f'{{"event_id":1}}\n{bad}\n'), schema_sample_rows=1)
     with pytest.raises(Exception, match="Invalid JSON"):
