@@ -11,11 +11,10 @@ from rawscan.llm.registry import vocabulary_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the model rejects go; the others get the predicted language."""
+    """Documents whose language the model rejects go; the others get the predicted language where they have none."""
     columns = docs.columns
-    kept = tuple(c for c in columns if c not in ("doc_id", "lang"))
-    found = language.predict(docs, language.fit(docs), keep=kept).where("NOT rejected")
-    return found.withColumnRenamed("lang_pred", "lang").select(*columns)
+    found = language.predict(docs, language.fit(docs), keep=tuple(c for c in columns if c != "doc_id")).where("NOT rejected")
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*columns)
 
 
 def cross_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
