@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 
 import numpy as np
@@ -191,7 +192,7 @@ def _sets(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
 
 
 def _postings(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """token, id, n, common for each token of a set's prefix that another set has too.
+    """token, id, n, common, pos for each token of a set's prefix (at place pos) that another set has too.
 
     Tokens are in the order of the number of sets that hold them, then of their hash: the rarest first. Linked sets
     share one of their first spare + 1 tokens. The counts are made in buckets of tokens and go back to the sets.
@@ -255,37 +256,50 @@ def _postings(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
             order = np.argsort(ids, kind="stable")
             ids, at, n = ids[order], at[order], n[order]
             starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-            out = ([], [], [], [])
+            out = ([], [], [], [], [])
             for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)], strict=True):
                 tok = own[int(ids[s])]
                 df = np.ones(len(tok), np.int64)
                 df[at[s:e]] = n[s:e]
                 first = np.lexsort((tok, df))[: _spare(len(tok), percent) + 1]
-                first = first[df[first] > 1]
-                for x, y in zip(out, (tok[first], np.full(len(first), ids[s]), np.full(len(first), len(tok)), np.full(len(first), e - s)), strict=True):
+                pos = np.flatnonzero(df[first] > 1)
+                first = first[pos]
+                for x, y in zip(out, (tok[first], np.full(len(first), ids[s]), np.full(len(first), len(tok)), np.full(len(first), e - s), pos), strict=True):
                     x.append(y)
             tok, *rest = map(np.concatenate, out)
-            yield _batch([tok.view(np.int64), *rest], [pa.int64()] * 4, ["token", "id", "n", "common"])
+            yield _batch([tok.view(np.int64), *rest], [pa.int64()] * 5, ["token", "id", "n", "common", "pos"])
 
     counts = sets.mapInArrow(dealt, _BLOB_SCHEMA).repartition(buckets, "bucket").mapInArrow(counted, _BLOB_SCHEMA)
     both = counts.unionByName(sets.mapInArrow(packed, _BLOB_SCHEMA))
-    return both.repartition(buckets, "bucket").mapInArrow(prefixes, "token bigint, id bigint, n bigint, common bigint")
+    return both.repartition(buckets, "bucket").mapInArrow(prefixes, "token bigint, id bigint, n bigint, common bigint, pos bigint")
 
 
-def _stars(postings: DataFrame) -> DataFrame:
-    """lead, id: each set of a token's list with the list's leader, the set with the largest share of common tokens.
+def _stars(postings: DataFrame, percent: int) -> DataFrame:
+    """lead, id: each set of a block of a token's list with the block's leader, the set with the largest share of common tokens.
 
-    A list is skipped by position: its leader is the first by share, so sets of one family meet the same leader in
-    all their lists, and those pairs are made once.
+    A list is cut into blocks by size, each as wide as linked sets can differ: a set is at home in the block of its own
+    size and visits the one below. Where the token is the first that two sets share, what follows its place in a set
+    bounds the sizes that the set can be linked with; visitors beyond the reach of all that are at home in a block skip
+    it, and so do blocks without two members. Sets of one family meet the same leader in all their lists, and those
+    pairs are made once.
     """
-    best = F.struct((-F.col("common") / F.col("n")).alias("share"), F.col("id"))
-    leads = postings.groupBy("token").agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    leads = leads.select("token", F.col("best.id").alias("lead"))
-    hot = hot_keys(postings.select("token"), "token")
-    pairs = salted(postings.select("token", "id"), hot, "token", F.xxhash64("id")).join(
-        replicated(leads, hot, "token"), ["token", "_salt"]
+    band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("n")
+    entries = postings.select(
+        "id",
+        "n",
+        F.struct((-F.col("common") / F.col("n")).alias("share"), F.col("id")).alias("best"),
+        F.expr(f"(n - pos) * {100 + percent} div {percent} - n").alias("reach"),
+        "token",
+        F.posexplode(F.array(band, band - 1)).alias("visits", "band"),
+    ).withColumn("block", F.xxhash64("token", "band"))
+    homes = F.when(F.col("visits") == 0, F.col("reach"))
+    leads = entries.groupBy("token", "band", "block").agg(F.min("best").alias("best"), F.max(homes).alias("reached"), F.count(F.lit(1)).alias("members"))
+    leads = leads.where("members > 1 AND reached IS NOT NULL").select("token", "band", "block", F.col("best.id").alias("lead"), "reached")
+    hot = hot_keys(entries.select("block"), "block")
+    pairs = salted(entries.select("block", "token", "band", "id", "n", "visits"), hot, "block", F.xxhash64("id")).join(
+        replicated(leads, hot, "block"), ["block", "token", "band", "_salt"]
     )
-    return pairs.where("id <> lead").select("lead", "id").distinct()
+    return pairs.where("id <> lead AND (visits = 0 OR n <= reached)").select("lead", "id").distinct()
 
 
 def _compared(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -383,8 +397,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5, id_co
     `width` words, or all words as one where there are fewer. Sets link when 100 * |x & y| >= percent * |x | y|.
 
     Equal sets are one to begin with. A set that has too few tokens in common with any others is settled at once. The
-    others are joined by prefix lists over the rarest tokens: each set is compared in full with the leader of each of
-    its lists, and what is left within a leader's group follows incrementally from the two sets' differences to the
+    others are joined by prefix lists over the rarest tokens, in blocks of like sizes: each set is compared in full with the
+    leader of each of its blocks, and what is left within a leader's group follows incrementally from the two sets' differences to the
     leader. Links then go to components. Tokens are 64-bit hashes of whole shingles.
 
     Null and empty texts, and texts of white space, have n_shingles 0 and are linked with nothing; so are rows with null
@@ -403,7 +417,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5, id_co
     dropped(spark, signed_path)
     sets, sets_path = stored_at(_sets(base, few, width), "sets")
     postings, postings_path = stored_at(_postings(sets, percent, buckets), "postings")
-    stars, stars_path = stored_at(_stars(postings), "stars")
+    stars, stars_path = stored_at(_stars(postings, percent), "stars")
     compared, compared_path = stored_at(_compared(stars, sets, percent), "compared")
     links = compared.where("linked").select(F.col("lead").alias("a"), F.col("id").alias("b")).unionByName(_rest(compared, percent))
     found = components(links)
