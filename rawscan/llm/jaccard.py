@@ -18,7 +18,7 @@ from rawscan.shipping import ship
 #: Words whose hashes a worker remembers; tokens that it holds before it hands them on.
 REMEMBERED, HELD = 250_000, 1_000_000
 #: Tokens of a bucket, about, and buckets at least.
-BUCKET_TOKENS, MIN_BUCKETS = 2_000_000, 32
+BUCKET_TOKENS, MIN_BUCKETS = 500_000, 32
 #: Tables of up to so many rows (of some 20 bytes) are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 150_000
 #: Members of a leader's group that are compared with as many others at a time.
