@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rawscan import args
 from rawscan.errors import RawScanError
 from rawscan.shipping import ship
-from rawscan.sources.text import decoded, records
+from rawscan.sources.text import BLANKS, decoded, records, without_return
 from rawscan.storage import pinned, unchanged
 
 QUOTE, ESCAPE = '"', "\\"
@@ -26,7 +26,7 @@ class Tokeniser:
     """
 
     def __init__(self, delimiter: str):
-        self.delimiter = delimiter
+        self.special = re.compile("[" + re.escape(QUOTE + ESCAPE + delimiter) + "]")
         self.fields: list[str] = []
         self.field: list[str] = []
         self.open = False
@@ -35,10 +35,11 @@ class Tokeniser:
         """The fields of the record that ends with this line, or None while a quote is open."""
         if self.open:
             self.field.append("\n")
-        i, n = 0, len(text)
-        while i < n:
-            c = text[i]
-            follows = text[i + 1] if i + 1 < n else ""
+        i = 0
+        while m := self.special.search(text, i):
+            self.field.append(text[i : m.start()])
+            i = m.end()
+            c, follows = m[0], text[i : i + 1]
             if c == ESCAPE:
                 if follows and (follows in (QUOTE, ESCAPE) or not self.open):
                     self.field.append(follows)
@@ -51,11 +52,11 @@ class Tokeniser:
                     self.open = not self.open
                     if self.open and not "".join(self.field).strip():
                         self.field.clear()
-            elif c == self.delimiter and not self.open:
-                self._end()
-            else:
+            elif self.open:
                 self.field.append(c)
-            i += 1
+            else:
+                self._end()
+        self.field.append(text[i:])
         if self.open:
             return None
         self._end()
@@ -126,12 +127,12 @@ def csv_load(
     ship(spark)
     if whole:
         return _whole(spark, pin, sep, has_header, charset)
-    lines = records(spark, pin, "\n", charset, split).select(F.regexp_replace("value", "\\r$", "").alias("value"), "first")
+    lines = records(spark, pin, "\n", charset, split).select(without_return(F.col("value")).alias("value"), "first")
     head = lines.limit(1).collect()
     names = names_of(tokens(head[0].value, sep) if head else None, has_header)
     if has_header:
         lines = lines.where(~F.col("first"))
-    lines = lines.where(~F.col("value").rlike("^\\s*$"))
+    lines = lines.where(F.btrim("value", F.lit(BLANKS)) != "")
 
     @F.pandas_udf("array<string>")
     def tokenised(values: pd.Series) -> pd.Series:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from rawscan import args
 from rawscan.errors import RawScanError
 from rawscan.shipping import ship
-from rawscan.sources.text import records
+from rawscan.sources.text import BLANKS, records, without_return
 from rawscan.storage import pinned
 
 # Accepted type names.
@@ -22,7 +22,8 @@ TYPES = {
     "DOUBLE": T.DoubleType(), "FLOAT": T.DoubleType(), "DECIMAL": T.DoubleType(), "VARCHAR": T.StringType(), "STRING": T.StringType(),
     "JSON": T.StringType(), "TEXT": T.StringType(),
 }
-_BLANK = "^[ \\t\\r\\n]*$"
+#: Stands after each line while it is checked.
+_MARK = "rawscan-mark-6f2d9c1e"
 
 
 class _Raw(str):
@@ -97,27 +98,29 @@ def additional(text: str) -> dict[str, T.DataType]:
 def _valid(value: Column) -> Column:
     """Whether a line is one JSON object and nothing else.
 
-    An array around the line must hold one object, and an object around it must be well-formed. The parser stops where
-    the outer value ends; what could end the array early, a bracket after the object, is no end of the outer object.
+    The line stands in an array before a marked object. Both must be all that the array has: text that ends the array
+    early hides the mark, a second value makes three, and other text is not JSON.
     """
     options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-    listed = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<struct<`\u0001`:string>>", options)
-    held = F.from_json(F.concat(F.lit('{"v":'), value, F.lit("}")), "struct<v:struct<`\u0001`:string>>", options)
-    return listed.isNotNull() & (F.size(listed) == 1) & F.get(listed, F.lit(0)).isNotNull() & held["v"].isNotNull()
+    both = F.from_json(F.concat(F.lit("["), value, F.lit(f',{{"{_MARK}":1}}]')), f"array<struct<`{_MARK}`:int>>", options)
+    alone = lambda b: (F.size(b) == 2) & F.get(b, F.lit(0)).isNotNull() & (F.get(b, F.lit(1))[_MARK] == 1)
+    return F.coalesce(F.exists(F.array(both), alone), F.lit(False))  # so that it is parsed once
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _as_written(lines: pd.Series, names: pd.Series) -> pd.Series:
-    """For each line (or None) the top-level scalars of the names as they are written."""
+def _as_written(names: list[str]):
+    """A function from a line (or None) to its top-level scalars of these names as they are written."""
 
-    def one(line, wanted):
-        if line is None:
-            return None
-        fields = dict(parse_object(line))
-        shown = [fields.get(n) for n in wanted]
-        return [str(v) if isinstance(v, str) else None for v in shown]
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def scalars(lines: pd.Series) -> pd.Series:
+        def one(line):
+            if line is None:
+                return None
+            fields = dict(parse_object(line))
+            return [str(v) if isinstance(v, str) else None for v in map(fields.get, names)]
 
-    return pd.Series([one(a, b) for a, b in zip(lines, names, strict=True)])
+        return pd.Series([one(x) for x in lines])
+
+    return scalars
 
 
 def json_load(
@@ -139,8 +142,8 @@ def json_load(
     charset, split, rows = args.charset(encoding), args.split_size_bytes(split_size_mb), args.sample_rows(schema_sample_rows)
     pin = pinned(spark, target)
     ship(spark)
-    lines = records(spark, pin, "\n", charset, split).select(F.regexp_replace("value", "\\r$", "").alias("value"))
-    lines = lines.where(~F.col("value").rlike(_BLANK))
+    lines = records(spark, pin, "\n", charset, split).select(without_return(F.col("value")).alias("value"))
+    lines = lines.where(F.btrim("value", F.lit(" \t\r\n" if charset == "UTF-8" else BLANKS)) != "")
     columns = infer(islice((r.value for r in lines.limit(rows).collect()), rows)) | additional(additional_columns)
     checked = lines.where(
         F.when(_valid(F.col("value")), True).otherwise(F.raise_error(F.concat(F.lit("Invalid JSON object: "), F.substring("value", 1, 120))).cast("boolean"))
@@ -155,8 +158,7 @@ def json_load(
         for n in texts:
             numeric = numeric | F.coalesce(field(n).rlike("^-?[0-9]"), F.lit(False))
         odd = numeric & F.col("value").rlike("[0-9]\\.[0-9]|[0-9][eE]|[0-9]{17}|-0")
-        names = F.array(*map(F.lit, texts))
-        parsed = parsed.withColumn("w", _as_written(F.when(odd, F.col("value")), names))
+        parsed = parsed.withColumn("w", _as_written(texts)(F.when(odd, F.col("value"))))
     for n, t in columns.items():
         c = field(n)
         if t == T.DoubleType():

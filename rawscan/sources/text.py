@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from rawscan import args
 from rawscan.storage import Pin, pinned, unchanged
 
+# Fixed value: the characters that Java counts as white space.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a\u2028\u2029\u205f\u3000"
+
+
+def without_return(value: Column) -> Column:
+    """The value without one carriage return at its end."""
+    return F.when(F.endswith(value, F.lit("\r")), F.left(value, F.length(value) - 1)).otherwise(value)
+
 
 def decoded(value: Column, charset: str) -> Column:
     """Bytes of the charset as text; malformed UTF-8 becomes U+FFFD."""
