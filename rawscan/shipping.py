@@ -10,11 +10,16 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+#: Spark's default for the bytes of a batch between the JVM and Python, and what is set in its place: a worker holds a
+#: batch several times over, and an executor has as many workers as cores.
+_BATCH, _DEFAULT, _BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16m"
 
 
 def ship(spark: SparkSession) -> None:
-    """Hands the package's source to the executors through Spark, once per application."""
+    """Hands the package's source to the executors through Spark, once per application, and bounds the session's batches."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH, _DEFAULT) == _DEFAULT:
+        spark.conf.set(_BATCH, _BYTES)
     if context.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parent
