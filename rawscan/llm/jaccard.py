@@ -356,35 +356,31 @@ def _rest(compared: DataFrame, percent: int) -> DataFrame:
         own = np.array(t["own"])
         lost = np.array([np.unpackbits(np.frombuffer(x, np.uint8), count=size) for x in t["lost"]], np.float32).reshape(len(ids), size)
         won = [np.frombuffer(x, np.uint64) for x in t["won"]]
-        lists = defaultdict(list)
-        parent = list(range(len(ids)))
+        found, parent = [], list(range(len(ids)))
 
         def root(x):
             while parent[x] != x:
                 parent[x] = x = parent[parent[x]]
             return x
 
-        both = np.zeros(0)
-        u = np.flatnonzero(~linked)
-        total, flat = np.concatenate([np.full(len(w), k) for k, w in enumerate(won)]).astype(int), np.concatenate(won)
-        order = np.argsort(flat, kind="stable")
-        flat, total = flat[order], total[order]
-        for start in range(0, len(u), 128):
-            part = u[start : start + 128]
-            union = lost[part].sum(1)[:, None] + lost.sum(1)[None, :] - lost[part] @ lost.T
-            both = size - union
+        holder, token = np.concatenate([np.full(len(w), k, np.int64) for k, w in enumerate(won)]), np.concatenate(won)
+        order = np.argsort(token, kind="stable")
+        holder, token = holder[order], token[order]
+        unlinked = np.flatnonzero(~linked)
+        for start in range(0, len(unlinked), 128):
+            part = unlinked[start : start + 128]
+            both = size - (lost[part].sum(1)[:, None] + lost.sum(1)[None, :] - lost[part] @ lost.T)
             for k, x in enumerate(part):
                 if len(won[x]):
-                    lo, hi = np.searchsorted(flat, won[x]), np.searchsorted(flat, won[x], side="right")
-                    hits = np.concatenate([total[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)])
+                    low, high = np.searchsorted(token, won[x]), np.searchsorted(token, won[x], side="right")
+                    hits = np.concatenate([holder[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)])
                     both[k] += np.bincount(hits, minlength=len(ids))
             ok = 100 * both >= percent * (n[part][:, None] + n[None, :] - both)
             for k, y in zip(*np.nonzero(ok), strict=True):
-                x = int(part[k])
-                if x != y and (t["i"][0] == t["j"][0] or own[x] != own[y]) and root(x) != root(int(y)):
-                    parent[root(x)] = root(int(y))
-                    lists[x].append(int(y))
-        found = [(int(ids[x]), int(ids[y])) for x, ys in lists.items() for y in ys]
+                x, y = int(part[k]), int(y)
+                if x != y and (t["i"][0] == t["j"][0] or own[x] != own[y]) and root(x) != root(y):
+                    parent[root(x)] = root(y)
+                    found.append((int(ids[x]), int(ids[y])))
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return dealt.groupBy("lead", "i", "j").applyInArrow(run, "a bigint, b bigint")
