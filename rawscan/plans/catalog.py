@@ -53,6 +53,18 @@ def _lines(*exprs, head=None, table="customer", order=None):
     return make
 
 
+def _quoted_texts(which):
+    """Documents with their texts in quotes: quotes doubled, escapes escaped, line breaks as they are."""
+    text = """replace(replace(coalesce(text, ''), '\\\\', '\\\\\\\\'), '"', '""')"""
+
+    def make(spark, sf):
+        rows = _t(spark, sf, "documents").where(which).selectExpr("1 AS o", f"""concat(doc_id, ';"', {text}, '"') AS value""")
+        head = spark.sql("SELECT 0 AS o, 'doc_id;text' AS value")
+        return head.unionByName(rows).repartition(1).sortWithinPartitions("o").select("value")
+
+    return make
+
+
 def _bytes(charset, sep, expr, table):
     def make(spark, sf):
         rows = _t(spark, sf, table).selectExpr(f"{expr} AS v").collect()
@@ -83,7 +95,8 @@ OBJECTS = {
     "customer-quoted.csv": _lines("concat('\"', c_name, ';', c_custkey, '\";\"say \"\"', c_mktsegment, '\"\"\";', 'a\\\\\\\\b')", head=["q;s;e"]),
     "customer-short.csv": _lines("if(c_custkey % 2 = 0, cast(c_custkey AS string), concat(c_custkey, ';', c_name, ';extra;more'))", head=["k;n;x"]),
     "customer-gaps.csv": _lines("concat(c_custkey, ';;', c_name)", "'   '", head=["k;e;n"]),
-    "multiline.csv": lambda spark, sf: ("doc_id;text\n" + "".join(f'{r.doc_id};"{r.text}"\n' for r in _t(spark, sf, "documents").where("length(text) < 3000 AND NOT contains(text, '\"') AND NOT contains(text, '\\\\')").collect())).encode(),
+    "multiline.csv": _quoted_texts("length(text) < 3000 AND NOT contains(text, '\"') AND NOT contains(text, '\\\\')"),
+    "documents.csv": _quoted_texts("true"),
     "customer.txt": _lines("concat(c_custkey, '|', c_name, '|', c_mktsegment)"),
     "pairs.txt": _lines("concat('id=', c_custkey, ' name=', c_name, if(c_custkey % 2 = 0, concat(' seg=', c_mktsegment), ''))"),
     "blank.txt": _text("a\n\nb\r\n\n\nc"),
@@ -143,6 +156,7 @@ _QUERIES = {
     "csv_short_row_null": Query("SELECT k, n, x FROM TABLE(raw.csv.load(path => '{customer-short.csv}'))", "SELECT c_custkey::VARCHAR AS k, CASE WHEN c_custkey % 2 = 1 THEN c_name END AS n, CASE WHEN c_custkey % 2 = 1 THEN 'extra' END AS x FROM customer"),
     "csv_empty_string_blank_skipped": Query("SELECT k, e, n FROM TABLE(raw.csv.load(path => '{customer-gaps.csv}'))", "SELECT c_custkey::VARCHAR AS k, '' AS e, c_name AS n FROM customer"),
     "csv_multiline": Query("SELECT CAST(doc_id AS bigint) AS doc_id, text FROM TABLE(raw.csv.load(path => '{multiline.csv}', multiline => 'true'))", "SELECT doc_id, text FROM documents WHERE length(text) < 3000 AND NOT contains(text, '\"') AND NOT contains(text, '\\')"),
+    "csv_multiline_all": Query("SELECT CAST(doc_id AS bigint) AS doc_id, text FROM TABLE(raw.csv.load(path => '{documents.csv}', multiline => 'true'))", "SELECT doc_id, text FROM documents"),
     "txt_lines": Query("SELECT line FROM TABLE(raw.txt.load(path => '{customer.txt}'))", "SELECT c_custkey || '|' || c_name || '|' || c_mktsegment AS line FROM customer"),
     "txt_blank_kept": Query("SELECT line FROM TABLE(raw.txt.load(path => '{blank.txt}', line_break => '\\n'))", "SELECT unnest(['a', '', 'b' || chr(13), '', '', 'c']) AS line"),
     "txt_multichar_break": Query("SELECT line FROM TABLE(raw.txt.load(path => '{multi.txt}', line_break => '||'))", "SELECT s_suppkey || ':' || s_name AS line FROM supplier"),
