@@ -8,10 +8,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Runs that may be a secret; they must hold a letter and a digit. Shorter values count after a key and = or :.
+#: Runs that may be a secret; they must hold a letter and a digit. All values after a key and = or : count too; those end
+#: before the next parameter of a URL.
 RUN = "[A-Za-z0-9+/_-]{16,}={0,2}"
 KEY = "(?i)(?:password|passwd|pwd|secret|token|api_?key|access_?key)"
-ASSIGNED = KEY + "[\"']?[=:][\"']?([^\\s\"'=:,;]{6,})"
+VALUE = "(?:(?!&[A-Za-z0-9_.-]+=)[^\\s\"'=:,;]){6,}"
+ASSIGNED = KEY + "[\"']?[ \\t]*[=:][ \\t]*[\"']?(?=" + VALUE + ")"
+MARK, IN_TEXT = "\u0001", "\u0002"
 # Words that stand next to secrets, words that stand next to other long values, prefixes of issued keys.
 SECRET_WORDS = "password|passwd|pwd|secret|token|api_?key|apikey|access_?key|credential|auth|bearer|private"
 OTHER_WORDS = "sha1|sha256|sha|md5|hash|commit|checksum|digest|etag|uuid|guid|revision|example|dummy|sample|placeholder|version|build|image|file|path"
@@ -40,29 +43,40 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     mixed = lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")
     runs = F.regexp_extract_all(F.col("_text"), F.lit(RUN), F.lit(0))
     some = docs.select(F.col(id_col).alias("_id"), text.alias("_text")).where(F.exists(runs, mixed) | F.col("_text").rlike(ASSIGNED))
-    words = some.select("_id", F.split("_text", "[ \\t\\r\\n]").alias("_w"))
+    # The mark stands before each assigned value; it changes no white space, so both arrays have the same words.
+    marked = F.regexp_replace(F.translate("_text", MARK, IN_TEXT), ASSIGNED, f"$0{MARK}")
+    words = some.select("_id", F.split("_text", "[ \\t\\r\\n]").alias("_w"), F.split(marked, "[ \\t\\r\\n]").alias("_m"))
 
-    def values(token):
-        own = F.filter(F.regexp_extract_all(token, F.lit(RUN), F.lit(0)), mixed)
-        return F.when(F.size(own) > 0, own).when(token.rlike(ASSIGNED), F.array(F.regexp_extract(token, ASSIGNED, 1))).otherwise(own)
+    def spans(token, parts, pattern):
+        """off, value of the match that each part but the first begins with; the parts joined are as long as token."""
+
+        def step(st, p):
+            n = F.length(F.regexp_extract(p, f"^{pattern}", 0))
+            own = F.struct(st["at"].alias("off"), F.substring(token, st["at"] + 1, n).alias("value"))
+            return F.struct((st["at"] + F.length(p)).alias("at"), F.array_append(st["found"], own).alias("found"))
+
+        start = F.struct(F.length(F.get(parts, F.lit(0))).alias("at"), F.array().cast("array<struct<off:int,value:string>>").alias("found"))
+        return F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), start, step)["found"]
 
     def context(x):
         at = lambda d: F.coalesce(F.get(F.col("_w"), x["i"] + d), F.lit(""))
         start = F.aggregate(F.slice("_w", F.lit(1), x["i"]), F.lit(0).cast("bigint"), lambda a, w: a + F.length(w) + 1)
         return F.struct(
-            start.alias("at"), x["w"].alias("token"), F.concat(at(-2), F.lit(" "), at(-1)).alias("before"), at(1).alias("after")
+            start.alias("at"), x["w"].alias("token"), x["m"].alias("marked"), F.concat(at(-2), F.lit(" "), at(-1)).alias("before"), at(1).alias("after")
         )
 
-    tokens = F.filter(F.transform("_w", lambda w, i: F.struct(i.alias("i"), w.alias("w"))), lambda x: x["w"].rlike("[A-Za-z0-9+/_-]{16}") | x["w"].rlike(ASSIGNED))
+    tokens = F.filter(
+        F.transform("_w", lambda w, i: F.struct(i.alias("i"), w.alias("w"), F.get(F.col("_m"), i).alias("m"))),
+        lambda x: x["w"].rlike("[A-Za-z0-9+/_-]{16}") | F.contains(x["m"], F.lit(MARK)),
+    )
     found = words.select("_id", F.explode(F.transform(tokens, context)).alias("c"))
-    each = found.select("_id", "c", F.explode(F.array_distinct(values(F.col("c.token")))).alias("value"))
+    token, cut = F.col("c.token"), lambda x: F.split(x, MARK)
+    own = F.filter(spans(token, cut(F.regexp_replace(F.translate(token, MARK, IN_TEXT), RUN, f"{MARK}$0")), RUN), lambda x: mixed(x["value"]))
+    both = found.select("_id", "c", F.array_sort(F.array_union(own, spans(token, cut(F.col("c.marked")), VALUE))).alias("_s"))
+    first = lambda v: F.struct(F.get(F.col("_s.off"), (F.array_position(F.col("_s.value"), v) - 1).cast("int")).alias("off"), v.alias("value"))
+    each = both.select("_id", "c", F.explode(F.transform(F.array_distinct("_s.value"), first)).alias("v"))
     return each.select(
-        F.col("_id").alias(id_col),
-        (F.col("c.at") + F.locate("\u0001", F.replace(F.col("c.token"), F.col("value"), F.lit("\u0001"))) - 1).alias("start"),
-        "value",
-        "c.token",
-        "c.before",
-        "c.after",
+        F.col("_id").alias(id_col), (F.col("c.at") + F.col("v.off")).alias("start"), "v.value", "c.token", "c.before", "c.after"
     )
 
 
@@ -148,9 +162,10 @@ def forest(findings: DataFrame, trees: int = 32, depth: int = 8, seed: int = 11)
 def secret_scan(docs: DataFrame, model: RandomForestClassificationModel, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per candidate: id, start, length, value, score, is_secret.
 
-    Candidates are runs of 16 or more of A-Z, a-z, 0-9, +, /, _ and - that hold a letter and a digit, and shorter values
-    right after a key such as password= or token:. start counts the characters before the value in the whole text, at
-    its first place in its word; the same value in one word counts once. The forest judges each by length, character
+    Candidates are all runs of 16 or more of A-Z, a-z, 0-9, +, /, _ and - that hold a letter and a digit, and all values of
+    6 or more characters after a key such as password= or token:, also with blanks (not line breaks) around = and :. Where
+    an assigned value goes on beyond a run in it, both are candidates. start counts the characters before the value in
+    the whole text, at its first match in its word; the same value in one word counts once. The forest judges each by length, character
     transitions and shares, dictionary coverage, path and neighbouring words; is_secret tells that the share of its
     vote reaches the threshold.
 

@@ -224,3 +224,25 @@ def test_secret_candidates_and_spans(spark, forest):
     assert [v for v, _ in by[2]] == ["1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae", "/usr/local/lib/python3/test/file2", "your-api-key-goes-here-1"]
     assert not any(s for _, s in by[2]) and set(by) == {1, 2, 5}
     assert rows(secrets.secret_scan(spark.createDataFrame([], DOCS), forest)) == []
+
+
+def test_secret_candidates_are_all_runs_and_all_assigned_values(spark):
+    run = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae"
+    cases = {
+        f'{{"token":"{run}","password":"hunter2x"}}': [run, "hunter2x"],
+        '{"a":1,"pwd":"hunter2x","b":{"secret":"s3cr3t!"},"api_key":"k3yk3y"}': ["hunter2x", "s3cr3t!", "k3yk3y"],
+        "https://h/?token=abc123&password=hunter2x&x=1 password=ab&cdef12": ["abc123", "hunter2x", "ab&cdef12"],
+        "token=abc123,secret=def456;pwd=hunter2x": ["abc123", "def456", "hunter2x"],
+        'é password: hunter2x\tpassword = "hunter3x" token\t=   \'hunter4x\'': ["hunter2x", "hunter3x", "hunter4x"],
+        "token=password=hunter2x": ["password", "hunter2x"],
+        f"token={run}.tail!x": [run, f"{run}.tail!x"],
+        "é\x01\x02 pwd=a\x01b\x02cdef": ["a\x01b\x02cdef"],
+        "hunter2x:password=hunter2x pwd=hunter2x,pwd=hunter2x": ["hunter2x", "hunter2x"],
+        "password:\nhunter2x secret = short": [],
+    }
+    data = [(i, t, None, None) for i, t in enumerate(cases)]
+    by = defaultdict(list)
+    for r in sorted(secrets.candidates(spark.createDataFrame(data, DOCS)).collect(), key=lambda r: (r.start, len(r.value))):
+        assert data[r.doc_id][1][r.start : r.start + len(r.value)] == r.value
+        by[r.doc_id].append(r.value)
+    assert [by[i] for i in range(len(cases))] == list(cases.values())
