@@ -192,6 +192,15 @@ def test_every_known_sentence_has_a_keyword_and_every_rule_known_sentences():
     assert {i for _, seq in licenses.RULES for i in seq} <= set(licenses.SENTENCES.values())
 
 
+@pytest.mark.parametrize("between", ["\n", "  ", "\u00a0", " \r\n * ", "-"])
+def test_license_sentences_broken_at_any_word(spark, between):
+    sentences = list(licenses.SENTENCES)
+    data = [(i, s.replace(" ", between), None, None) for i, s in enumerate(sentences)] + [(-1, f"(c) 2020 Foo GmbH. All rights{between}reserved.", None, None)]
+    found = {r.doc_id: (r.licenses, r.sentences) for r in licenses.license_scan(spark.createDataFrame(data, DOCS)).collect()}
+    assert found.pop(-1)[0] == "All-Rights-Reserved"
+    assert {i: s for i, (_, s) in found.items()} == {i: licenses.SENTENCES[s] for i, s in enumerate(sentences)}
+
+
 # --- secrets ---
 
 
