@@ -25,9 +25,15 @@ def cross_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents linked by n-gram Jaccard similarity, the one with the smallest doc_id stays."""
+    """Of the documents linked by n-gram Jaccard similarity, the one with the smallest doc_id stays.
+
+    Rows without doc_id are linked with nothing and all stay. Of rows that repeat a doc_id one stays: that with the
+    smallest columns, in their order.
+    """
     found = jaccard.jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(*docs.columns)
+    named = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    kept = named.join(found, "doc_id", "left_semi").select("_row.*")
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,3 +87,12 @@ def test_run_chains_the_stages(spark, made, tmp_path):
 def test_run_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"file://{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == 0
+
+
+def test_near_duplicates_keeps_rows_without_id_and_one_row_an_id(spark):
+    rng = random.Random(3)
+    text, other = (" ".join(str(rng.random()) for _ in range(60)) for _ in range(2))
+    data = [(None, text, "aa", "s1", 1), (None, text, "aa", "s1", 1), (None, None, None, None, None), (1, text, "aa", "s2", 1), (1, text, "aa", "s2", 1), (2, text, "aa", "s2", 1), (3, other, "bb", "s3", 2), (3, other, "aa", "s3", 2)]
+    found = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(data, DOCS), "").collect()
+    want = [data[0], data[1], data[2], data[3], data[7]]
+    assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
