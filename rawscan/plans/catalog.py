@@ -219,12 +219,19 @@ def host_range(spark, sf_dir):
     return operators.range_join(customers, spans, "k", "lo", "hi", 8.0).select("k", "span")
 
 
+def host_range_all(spark, sf_dir):
+    customers = sql(spark, f"SELECT k, seg FROM {_CUSTOMERS}".replace("{customer.txt}", path(spark, sf_dir, "customer.txt")))
+    spans = customers.selectExpr("k AS span", "k AS lo", "k + 7 AS hi")
+    return operators.range_join(customers, spans, "k", "lo", "hi", 8.0).select("k", "span")
+
+
 _MORE = {
     "list_recursive": (list_recursive, "SELECT 's3://tree/' || key AS path, 'tree' AS bucket, key, n_name || '.txt' AS name, 'r' || n_regionkey || '/' AS parent, strlen(n_name) + 1 AS size, 'object' AS type FROM (SELECT *, 'r' || n_regionkey || '/' || n_name || '.txt' AS key FROM nation)"),
     "list_prefixes": (list_prefixes, "SELECT DISTINCT 'r' || n_regionkey || '/' AS key, 'r' || n_regionkey AS name, '' AS parent, NULL::BIGINT AS size, 'prefix' AS type FROM nation UNION ALL SELECT 'top.txt', 'top.txt', '', 4, 'object'"),
     "list_buckets": (list_buckets, "SELECT * FROM (VALUES ('s3://data', 'data'), ('s3://tree', 'tree')) t(path, bucket)"),
     "host_asof": (host_asof, "SELECT l.user_id, l.event_id, r.value FROM (SELECT user_id, event_id FROM events WHERE event_type = 'click') l ASOF LEFT JOIN (SELECT * FROM events WHERE event_type <> 'click') r ON l.user_id = r.user_id AND l.event_id >= r.event_id"),
     "host_range": (host_range, "SELECT a.c_custkey AS k, b.c_custkey AS span FROM customer a JOIN customer b ON b.c_custkey % 10 = 0 AND a.c_custkey >= b.c_custkey AND a.c_custkey < b.c_custkey + 7"),
+    "host_range_all": (host_range_all, "SELECT a.c_custkey AS k, b.c_custkey AS span FROM customer a JOIN customer b ON a.c_custkey >= b.c_custkey AND a.c_custkey < b.c_custkey + 7"),
 }
 
 
