@@ -179,7 +179,8 @@ def fold(id_col: str = "doc_id") -> Column:
 def fit(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """A model from a bounded sample of the labelled rows outside fold 1; None where there are none.
 
-    Each language gives about as many rows, chosen by a hash of the id, of which at most sample_rows reach the driver,
+    Only the max_languages most frequent languages are learned; documents of others always get one of those. Each
+    language gives about as many rows, chosen by a hash of the id, of which at most sample_rows reach the driver,
     each with a snippet whose length and place follow from that hash too.
     """
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(id_col) != 1))
