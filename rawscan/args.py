@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from rawscan.errors import RawScanError
 
-DEFAULT_SPLIT_MB = 32
 _MEGABYTE = 1 << 20
 _MOST_BYTES = (1 << 31) - 1
-# Charsets that the scan decodes without a legacy switch, by lower-case name.
+# Charsets that Spark decodes itself, by lower-case name. UTF-16 goes by the object's byte order mark.
 CHARSETS = {
-    "utf-8": "UTF-8", "utf8": "UTF-8", "us-ascii": "US-ASCII", "ascii": "US-ASCII", "iso-8859-1": "ISO-8859-1", "latin1": "ISO-8859-1",
-    "utf-16le": "UTF-16LE", "utf-16be": "UTF-16BE",
+    "utf-8": "UTF-8", "utf8": "UTF-8", "iso-8859-1": "ISO-8859-1", "latin1": "ISO-8859-1", "latin-1": "ISO-8859-1",
+    "utf-16le": "UTF-16LE", "utf-16be": "UTF-16BE", "utf-16": "UTF-16", "utf16": "UTF-16",
 }
 
 
@@ -42,10 +41,10 @@ def optional_boolean(name: str, value, default: bool) -> bool:
     return text == "true"
 
 
-def split_size_bytes(value, default_mb: int = DEFAULT_SPLIT_MB) -> int | None:
-    """Bytes of a split; None where -1 or nothing leaves the choice to the session."""
+def split_size_bytes(value, default: int | None = None) -> int | None:
+    """Bytes of a split; the default where -1 or nothing is given. None leaves the choice to the session."""
     if value is None or value == -1:
-        return None
+        return default
     if isinstance(value, bool) or not isinstance(value, int):
         raise RawScanError("Argument SPLIT_SIZE_MB must be an integer")
     if value <= 0:
@@ -56,7 +55,7 @@ def split_size_bytes(value, default_mb: int = DEFAULT_SPLIT_MB) -> int | None:
 
 
 def charset(value) -> str:
-    """The canonical name of a charset; blank means UTF-8. Names outside CHARSETS need spark.sql.legacy.javaCharsets."""
+    """The canonical name of a charset, or Python's name of one that CHARSETS doesn't have; blank means UTF-8."""
     if value is None or not require_string("ENCODING", value).strip():
         return "UTF-8"
     name = value.strip()
@@ -65,10 +64,12 @@ def charset(value) -> str:
     import codecs
 
     try:
-        codecs.lookup(name)
+        found = codecs.lookup(name)
     except LookupError:
         raise RawScanError(f"Unsupported encoding: {name}") from None
-    return name.upper()
+    if not found._is_text_encoding:
+        raise RawScanError(f"Unsupported encoding: {name}")
+    return found.name
 
 
 def sample_rows(value) -> int:

@@ -5,8 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
+from rawscan import args
 from rawscan.errors import RawScanError
 
+#: Session setting: megabytes of a split where a loader's split_size_mb is -1. Unset, the session's own scan settings count.
+DEFAULT_SPLIT = "rawscan.split.default-mb"
 # Credential providers of the three ways to sign in.
 _PROVIDERS = {
     "default": None,
@@ -34,7 +37,7 @@ class StoreConfig:
     secret_key: str | None = None
     auth_mode: str = "default"
     path_style_access: bool = True
-    credentials_provider: str | None = None
+    interceptor_class: str | None = None
     default_split_size_mb: int = 32
     max_connections: int = 5
     acquisition_timeout_s: int = 300
@@ -70,7 +73,7 @@ class StoreConfig:
         )
 
     def hadoop(self) -> dict[str, str]:
-        provider = self.credentials_provider or _PROVIDERS["static" if self.access_key and self.auth_mode == "default" else self.auth_mode]
+        provider = _PROVIDERS["static" if self.access_key and self.auth_mode == "default" else self.auth_mode]
         found = {
             "fs.s3a.endpoint.region": self.region,
             "fs.s3a.endpoint": self.endpoint,
@@ -80,14 +83,21 @@ class StoreConfig:
             "fs.s3a.path.style.access": str(self.path_style_access).lower(),
             "fs.s3a.connection.maximum": str(self.max_connections),
             "fs.s3a.connection.acquisition.timeout": f"{self.acquisition_timeout_s}s",
+            "fs.s3a.audit.execution.interceptors": self.interceptor_class,
             "fs.s3a.change.detection.source": "etag",
             "fs.s3a.change.detection.mode": "server",
         }
         return {k: v for k, v in found.items() if v is not None}
 
     def apply(self, spark) -> None:
-        """Puts the settings into the session's Hadoop configuration, and the default split size into the session."""
+        """Puts the settings into the application's Hadoop configuration, and the loaders' default split size and store into the session."""
         hadoop = spark.sparkContext._jsc.hadoopConfiguration()
         for k, v in self.hadoop().items():
             hadoop.set(k, v)
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(self.default_split_size_mb << 20))
+        spark.conf.set(DEFAULT_SPLIT, str(self.default_split_size_mb))
+
+
+def split_bytes(spark, value) -> int | None:
+    """Bytes of a loader's splits: its own argument, else the connector's default, else None."""
+    default = spark.conf.get(DEFAULT_SPLIT, None)
+    return args.split_size_bytes(value, int(default) << 20 if default else None)

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +11,12 @@ from rawscan import storage
 
 
 def store(spark: SparkSession, sf_dir: str) -> str:
-    """The object store of a data folder, set as the session's; under the shared folder where the session names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{os.path.join(tempfile.gettempdir(), 'rawscan-store')}"
-    root = f"{shared.rstrip('/')}/rawscan-{hashlib.sha256(sf_dir.rstrip('/').encode()).hexdigest()[:12]}"
+    """The object store of a data folder, set as the session's: in the shared folder, under a name that follows from the
+    sizes and dates of the folder's files, so that changed tables are exported anew."""
+    fs, at = storage.file_system(spark, sf_dir)
+    files = sorted(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}" for f in fs.listStatus(at))
+    name = hashlib.sha256("\n".join([sf_dir.rstrip("/"), *files]).encode()).hexdigest()[:12]
+    root = f"{storage.shared_dir(spark)}/rawscan-{name}"
     spark.conf.set(storage.ROOT, root)
     return root
 

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import re
+from itertools import islice
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawscan import args
+from rawscan import args, config
 from rawscan.errors import RawScanError
 from rawscan.shipping import ship
-from rawscan.sources.text import BLANKS, decoded, records, without_return
-from rawscan.storage import pinned, unchanged
+from rawscan.sources.text import BLANKS, in_order, pieces_of, records, resolved, separator, without_return
+from rawscan.storage import pinned
 
 QUOTE, ESCAPE = '"', "\\"
 
@@ -75,15 +75,35 @@ def tokens(text: str, delimiter: str) -> list[str]:
     return found
 
 
-def multiline_records(text: str, delimiter: str):
-    """Fields of each record of a whole text. Records of blank lines alone are skipped; an open quote at the end fails."""
+def tokenised(value: Column, delimiter: str) -> Column:
+    """tokens() as an expression: a fold over the line's pieces, which are escapes with what they escape, runs of quotes,
+    delimiters and other text."""
+    q, sep = re.escape(QUOTE), re.escape(delimiter)
+    pieces = F.regexp_extract_all(value, F.lit(f"(?s)\\\\.?|{q}+|{sep}|[^\\\\{q}{sep}]+"), F.lit(0))
+    start = F.struct(F.lit(False).alias("open"), F.lit("").alias("field"), F.array().cast("array<string>").alias("fields"))
+
+    def step(st, x):
+        one = F.substring(x, 1, 1)
+        escape, quote, cut = one == ESCAPE, one == QUOTE, (x == delimiter) & ~st["open"]
+        inside = F.length(x) - F.when(st["open"], 0).otherwise(1)  # quotes that stand within the quotes
+        begun = F.when(st["open"] | (F.btrim(st["field"], F.lit(BLANKS)) != ""), st["field"]).otherwise("")
+        quoted = F.concat(begun, F.repeat(F.lit(QUOTE), F.floor(inside / 2).cast("int")))
+        return F.struct(
+            F.when(quote, inside % 2 == 0).otherwise(st["open"]).alias("open"),
+            F.when(cut, "").when(escape, F.concat(st["field"], F.substring(x, 2, 1))).when(quote, quoted).otherwise(F.concat(st["field"], x)).alias("field"),
+            F.when(cut, F.array_append(st["fields"], st["field"])).otherwise(st["fields"]).alias("fields"),
+        )
+
+    open_end = F.raise_error(F.lit("Unterminated quoted field at end of line")).cast("array<string>")
+    return F.aggregate(pieces, start, step, lambda st: F.when(st["open"], open_end).otherwise(F.array_append(st["fields"], st["field"])))
+
+
+def multiline_records(lines, delimiter: str):
+    """Fields of each record of (line, whether a line break follows). Records of blank lines alone are skipped; an open
+    quote at the end fails."""
     state, blank = Tokeniser(delimiter), True
-    lines = text.split("\n")
-    if lines and not lines[-1]:
-        lines.pop()
-    for i, line in enumerate(lines):
-        last_open = i == len(lines) - 1 and not text.endswith("\n")
-        plain = line if last_open else line.removesuffix("\r")
+    for line, ended in lines:
+        plain = line.removesuffix("\r") if ended else line
         blank = blank and not plain.strip()
         found = state.line(plain)
         if found is not None:
@@ -117,65 +137,53 @@ def csv_load(
 ) -> DataFrame:
     """One row for each record that isn't blank. Fields go to columns by their place: missing ones are null, more are dropped.
 
-    Lines without quote and escape are split in the JVM; others by an Arrow function. With multiline the object is read
-    as a whole by one task, since a quote may be open at any place where it could be cut.
+    Lines are split in the JVM, those without quote and escape by a plain split. With multiline the object is one
+    stream that one task reads, since a quote may be open at any place where it could be cut; the task holds a batch of
+    lines and a record, however large the object is.
     """
     target, sep = args.require_path(path), args.delimiter(delimiter)
     has_header, whole = args.optional_boolean("HEADER", header, True), args.optional_boolean("MULTILINE", multiline, False)
-    charset, split = args.charset(encoding), args.split_size_bytes(split_size_mb)
+    charset, split = args.charset(encoding), config.split_bytes(spark, split_size_mb)
     pin = pinned(spark, target)
-    ship(spark)
     if whole:
-        return _whole(spark, pin, sep, has_header, charset)
-    lines = records(spark, pin, "\n", charset, split).select(without_return(F.col("value")).alias("value"), "first")
-    head = lines.limit(1).collect()
-    names = names_of(tokens(head[0].value, sep) if head else None, has_header)
+        return _stream(spark, pin, sep, has_header, charset)
+    lines = records(spark, pin, "\n", charset, split, has_header)
+    lines = lines.withColumn("value", without_return(F.col("value")))
+    first = lines.limit(1).collect()
+    names = names_of(tokens(first[0].value, sep) if first else None, has_header)
     if has_header:
         lines = lines.where(~F.col("first"))
     lines = lines.where(F.btrim("value", F.lit(BLANKS)) != "")
-
-    @F.pandas_udf("array<string>")
-    def tokenised(values: pd.Series) -> pd.Series:
-        return pd.Series([None if v is None else tokens(v, sep) for v in values])
-
     plain = ~F.col("value").contains(QUOTE) & ~F.col("value").contains(ESCAPE)
-    quick = F.split("value", re.escape(sep), -1)
-    cut = lines.select(
-        F.when(plain, quick).alias("q"), tokenised(F.when(~plain, F.col("value"))).alias("t")
-    ).select(F.coalesce("q", "t").alias("f"))
+    cut = lines.select(F.when(plain, F.split("value", re.escape(sep), -1)).otherwise(tokenised(F.col("value"), sep)).alias("f"))
     return cut.select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
-def _whole(spark, pin, sep, has_header, charset) -> DataFrame:
-    scan = unchanged(spark.read.format("binaryFile").load(pin.path), pin).select(decoded(F.col("content").cast("string"), charset).alias("text"))
-
-    def first(batches):
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                state, found = Tokeniser(sep), None
-                for line in text.split("\n") if text else []:
-                    found = state.line(line.removesuffix("\r"))
-                    if found is not None:
-                        break
-                if state.open:
-                    raise RawScanError("Unterminated quoted record at end of file")
-                yield pa.RecordBatch.from_arrays([pa.array([found], pa.list_(pa.string()))], ["f"])
-
-    head = scan.mapInArrow(first, "f array<string>").collect()
-    names = names_of(head[0].f if head else None, has_header)
-
-    def rows(batches):
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
+def _stream(spark, pin, sep, has_header, charset) -> DataFrame:
+    ship(spark)
+    charset, marked = resolved(spark, pin, charset)
+    feed, size = "\n".encode(charset), pin.size
+    cut = separator("\n", charset)
+    if cut is None:
+        raise RawScanError(f"Multiline records can't be read in {charset}")
+    scan = in_order(spark, pin, cut)
+
+    def found(batches):
+        texts = ((raw.decode(charset, "replace"), ended) for raw, ended in pieces_of(batches, feed, size))
+        lines = ((text.removeprefix("\ufeff") if marked and not i else text, ended) for i, (text, ended) in enumerate(texts))
+        return multiline_records(lines, sep)
+
+    def rows(records_):
+        part = []
+        for fields in records_:
+            part.append(fields)
+            if len(part) == 1024:
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.list_(pa.string()))], ["f"])
                 part = []
-                for i, fields in enumerate(multiline_records(text, sep)):
-                    if i or not has_header:
-                        part.append(fields)
-                    if len(part) == 1024:
-                        yield pa.RecordBatch.from_arrays([pa.array(part, pa.list_(pa.string()))], ["f"])
-                        part = []
-                if part:
-                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.list_(pa.string()))], ["f"])
-
-    cut = scan.mapInArrow(rows, "f array<string>")
-    return cut.select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])
+        if part:
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.list_(pa.string()))], ["f"])
+
+    first = scan.mapInArrow(lambda batches: rows(islice(found(batches), 1)), "f array<string>").collect()
+    names = names_of(first[0].f if first else None, has_header)
+    cells = scan.mapInArrow(lambda batches: rows(islice(found(batches), int(has_header), None)), "f array<string>")
+    return cells.select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])

@@ -5,14 +5,12 @@ from __future__ import annotations
 import json
 from itertools import islice
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawscan import args
+from rawscan import args, config
 from rawscan.errors import RawScanError
-from rawscan.shipping import ship
 from rawscan.sources.text import BLANKS, records, without_return
 from rawscan.storage import pinned
 
@@ -107,20 +105,38 @@ def _valid(value: Column) -> Column:
     return F.coalesce(F.exists(F.array(both), alone), F.lit(False))  # so that it is parsed once
 
 
-def _as_written(names: list[str]):
-    """A function from a line (or None) to its top-level scalars of these names as they are written."""
+def _as_written(line: Column) -> Column:
+    """The scalars of the line's object, in their order: structs of key and, for numbers, the value as it is written.
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def scalars(lines: pd.Series) -> pd.Series:
-        def one(line):
-            if line is None:
-                return None
-            fields = dict(parse_object(line))
-            return [str(v) if isinstance(v, str) else None for v in map(fields.get, names)]
-
-        return pd.Series([one(x) for x in lines])
+    A fold over the line's pieces, which are escapes, quotes, brackets, colons, commas and what stands between these.
+    """
+    pieces = F.regexp_extract_all(line, F.lit(r'(?s)\\.|"|[{}\[\],:]|[^\\"{}\[\],:]+'), F.lit(0))
+    start = F.struct(
+        F.lit(0).alias("depth"),
+        F.lit(False).alias("quoted"),
+        F.lit(False).alias("value"),
+        F.lit("").alias("key"),
+        F.array().cast("array<struct<key:string,written:string>>").alias("found"),
+    )
 
-    return scalars
+    def step(st, x):
+        here, quote = st["depth"] == 1, x == '"'
+        found = lambda written: F.array_append(st["found"], F.struct(st["key"].alias("key"), written.alias("written")))
+        scalar = here & st["value"] & ~st["quoted"] & ~x.rlike("^(?:[{}\\[\\],:]|\\s*)$")
+        plain = ~st["quoted"]
+        return F.struct(
+            F.when(plain & x.isin("{", "["), st["depth"] + 1).when(plain & x.isin("}", "]"), st["depth"] - 1).otherwise(st["depth"]).alias("depth"),
+            F.when(quote, plain).otherwise(st["quoted"]).alias("quoted"),
+            F.when(plain & here & (x == ":"), True).when(plain & here & (x == ","), False).otherwise(st["value"]).alias("value"),
+            F.when(~here | st["value"], st["key"]).when(quote & plain, "").when(st["quoted"] & ~quote, F.concat(st["key"], x)).otherwise(st["key"]).alias("key"),
+            F.when(scalar & ~quote, found(F.when(x.rlike("^\\s*-?[0-9]"), F.btrim(x, F.lit(" \t\r\n")))))
+            .when(scalar & quote, found(F.lit(None).cast("string")))
+            .otherwise(st["found"])
+            .alias("found"),
+        )
+
+    told = lambda x: F.when(F.contains(x["key"], F.lit("\\")), F.get(F.from_json(F.concat(F.lit('["'), x["key"], F.lit('"]')), "array<string>"), F.lit(0))).otherwise(x["key"])
+    return F.transform(F.aggregate(pieces, start, step, lambda st: st["found"]), lambda x: F.struct(told(x).alias("key"), x["written"].alias("written")))
 
 
 def json_load(
@@ -135,13 +151,12 @@ def json_load(
     """One row for each line that isn't blank; a line that is not one JSON object fails the query, whatever is selected.
 
     A value of another type than its column's is null. Text columns get strings as they are, other scalars as they are
-    written, containers as compact JSON. Numbers that Spark would write otherwise than they stand in the line go
-    through Python unless exact_numbers is false.
+    written, containers as compact JSON. Lines with numbers that Spark would write otherwise than they stand there are
+    folded over once more for them, unless exact_numbers is false.
     """
     target = args.require_path(path)
-    charset, split, rows = args.charset(encoding), args.split_size_bytes(split_size_mb), args.sample_rows(schema_sample_rows)
+    charset, split, rows = args.charset(encoding), config.split_bytes(spark, split_size_mb), args.sample_rows(schema_sample_rows)
     pin = pinned(spark, target)
-    ship(spark)
     lines = records(spark, pin, "\n", charset, split).select(without_return(F.col("value")).alias("value"))
     lines = lines.where(F.btrim("value", F.lit(" \t\r\n" if charset == "UTF-8" else BLANKS)) != "")
     columns = infer(islice((r.value for r in lines.limit(rows).collect()), rows)) | additional(additional_columns)
@@ -152,19 +167,20 @@ def json_load(
     parsed = checked.select("value", F.from_json("value", schema).alias("j"))
     texts = [n for n, t in columns.items() if t == T.StringType()]
     field = lambda n: F.col("j").getField(n)
+    named = lambda n: lambda x: x["key"] == n
     out = []
     if texts and exact_numbers:
         numeric = F.lit(False)
         for n in texts:
             numeric = numeric | F.coalesce(field(n).rlike("^-?[0-9]"), F.lit(False))
         odd = numeric & F.col("value").rlike("[0-9]\\.[0-9]|[0-9][eE]|[0-9]{17}|-0")
-        parsed = parsed.withColumn("w", _as_written(texts)(F.when(odd, F.col("value"))))
+        parsed = parsed.withColumn("w", F.when(odd, _as_written(F.col("value"))))
     for n, t in columns.items():
         c = field(n)
         if t == T.DoubleType():
             c = F.when(~F.isnan(c), c)
         elif t == T.StringType() and exact_numbers:
-            written = F.get(F.col("w"), F.lit(texts.index(n)))
+            written = F.try_element_at(F.filter("w", named(n)), F.lit(-1))["written"]
             c = F.when(c.rlike("^-?[0-9]") & written.isNotNull(), written).otherwise(c)
         out.append(c.alias(n))
     return parsed.select(*out)

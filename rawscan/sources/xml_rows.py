@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+from collections.abc import Iterable
 from xml.parsers import expat
 
 import pyarrow as pa
@@ -11,7 +13,8 @@ from pyspark.sql import functions as F
 from rawscan import args
 from rawscan.errors import RawScanError
 from rawscan.shipping import ship
-from rawscan.storage import pinned, unchanged
+from rawscan.sources.text import in_order, pieces_of, resolved, separator
+from rawscan.storage import pinned
 
 
 def _escaped(text: str, attribute: bool = False) -> str:
@@ -29,8 +32,8 @@ class Row:
         self.text, self.nested, self.repeated, self.raw = [], False, False, []
 
 
-def rows_of(content: str, row_element: str, capture: bool):
-    """Row after row of a document. capture: keep the rows' XML, for the column of invalid rows."""
+def rows_of(content: Iterable[str], row_element: str, capture: bool):
+    """Row after row of a document, given part by part. capture: keep the rows' XML, for the column of invalid rows."""
     done: list[Row] = []
     state = {"row": None, "depth": 0, "child": None}
     parser = expat.ParserCreate("utf-8")
@@ -80,10 +83,9 @@ def rows_of(content: str, row_element: str, capture: bool):
 
     parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
     parser.StartDoctypeDeclHandler = doctype
-    raw = content.encode("utf-8", "replace")
     try:
-        for at in range(0, len(raw), 1 << 16):
-            parser.Parse(raw[at : at + (1 << 16)], False)
+        for part in content:
+            parser.Parse(part.encode("utf-8", "replace"), False)
             yield from done
             done.clear()
         parser.Parse(b"", True)
@@ -92,7 +94,7 @@ def rows_of(content: str, row_element: str, capture: bool):
     yield from done
 
 
-def outline(content: str, row_element: str) -> tuple[list[str], list[str], bool]:
+def outline(content: Iterable[str], row_element: str) -> tuple[list[str], list[str], bool]:
     """Attributes and children in first-seen order, and whether any row has text of its own."""
     attributes, children, text, seen = {}, {}, False, False
     for row in rows_of(content, row_element, False):
@@ -131,8 +133,8 @@ def xml_load(
 
     A row is invalid when a child holds elements, a child's name repeats, or it has text of its own without a column for
     it; then the column of invalid rows holds its XML and the others are null, or, without that column, the query fails.
-    The object is read as a whole by one task, once for the columns and once for the rows; a document that is not
-    well-formed, or has a DTD, fails.
+    The object is one stream that one task reads, once for the columns and once for the rows, and holds a batch of it
+    and a row at a time; a document that is not well-formed, or has a DTD, fails.
     """
     target, element = args.require_path(path), args.row_element(row_element)
     with_text, null_empty = args.optional_boolean("INCLUDE_TEXT", include_text, False), args.optional_boolean("EMPTY_AS_NULL", empty_as_null, False)
@@ -140,18 +142,29 @@ def xml_load(
     charset = args.charset(encoding)
     pin = pinned(spark, target)
     ship(spark)
-    scan = unchanged(spark.read.format("binaryFile").load(pin.path), pin).select("content")
-
-    def text_of(raw: bytes) -> str:
-        return raw.decode(charset, "replace").removeprefix("﻿")
+    charset, _ = resolved(spark, pin, charset)
+    cut, size = separator(">", charset), pin.size
+    if cut is None:
+        raise RawScanError(f"XML can't be read in {charset}")
+    scan = in_order(spark, pin, cut)
+
+    def texts(batches):
+        decoder, feed, held = codecs.getincrementaldecoder(charset)("replace"), ">".encode(charset), []
+        marked = True
+        for raw, ended in pieces_of(batches, feed, size):
+            held.append(decoder.decode(raw + feed if ended else raw))
+            if len(held) == 1024:
+                yield "".join(held).removeprefix("\ufeff" if marked else "")
+                held, marked = [], False
+        yield ("".join(held) + decoder.decode(b"", True)).removeprefix("\ufeff" if marked else "")
 
     def outlined(batches):
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                a, c, t = outline(text_of(raw), element)
-                yield pa.RecordBatch.from_arrays([pa.array([a]), pa.array([c], pa.list_(pa.string())), pa.array([t])], ["a", "c", "t"])
+        a, c, t = outline(texts(batches), element)
+        yield pa.RecordBatch.from_arrays([pa.array([a], pa.list_(pa.string())), pa.array([c], pa.list_(pa.string())), pa.array([t])], ["a", "c", "t"])
 
     found = scan.mapInArrow(outlined, "a array<string>, c array<string>, t boolean").first()
+    if found is None:
+        raise RawScanError("The document is not well-formed XML: it is empty")
     attributes, children = list(found.a), list(found.c)
     text_column = found.t and with_text
     names = distinct_names([*[f"@{a}" for a in attributes], *children, *(["text"] if text_column else [])])
@@ -172,15 +185,13 @@ def xml_load(
         return [*out, *([own or None] if text_column else []), *([None] if errors else [])]
 
     def parsed(batches):
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
+        part = []
+        for row in rows_of(texts(batches), element, bool(errors)):
+            part.append(cells(row))
+            if len(part) == 1024:
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.list_(pa.string()))], ["f"])
                 part = []
-                for row in rows_of(text_of(raw), element, bool(errors)):
-                    part.append(cells(row))
-                    if len(part) == 1024:
-                        yield pa.RecordBatch.from_arrays([pa.array(part, pa.list_(pa.string()))], ["f"])
-                        part = []
-                if part:
-                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.list_(pa.string()))], ["f"])
+        if part:
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.list_(pa.string()))], ["f"])
 
     return scan.mapInArrow(parsed, "f array<string>").select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,13 +40,44 @@ def file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Unset, a local one in local mode, else an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RawScanError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='rawscan-shared-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def head(spark: SparkSession, path: str, n: int) -> bytes:
+    """The first n bytes of an object."""
+    fs, at = file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return bytes(b for b in (stream.read() for _ in range(n)) if b >= 0)
+    finally:
+        stream.close()
+
+
 @dataclass(frozen=True)
 class Pin:
-    """The object as it was when its schema was decided."""
+    """The object as it was when its schema was decided; etag and version where the file system tells them."""
 
     path: str
     size: int
     modified_ms: int
+    etag: str | None = None
+    version: str | None = None
+
+
+def _told(status, name: str) -> str | None:
+    """What a status has to say beyond Hadoop's common fields; file systems without it have no such method in the JVM."""
+    try:
+        return getattr(status, name)()
+    except Py4JError:
+        return None
 
 
 def pinned(spark: SparkSession, path: str) -> Pin:
@@ -55,14 +88,20 @@ def pinned(spark: SparkSession, path: str) -> Pin:
     status = fs.getFileStatus(at)
     if status.isDirectory():
         raise RawScanError(f"PATH must name one object: {path}")
-    return Pin(str(status.getPath().toString()), int(status.getLen()), int(status.getModificationTime()))
+    return Pin(str(status.getPath().toString()), int(status.getLen()), int(status.getModificationTime()), _told(status, "getEtag"), _told(status, "getVersionId"))
+
+
+def verify(spark: SparkSession, pin: Pin) -> None:
+    """Fails where the object isn't any more what was pinned: for a caller that has read it to the end."""
+    if pinned(spark, pin.path) != pin:
+        raise RawScanError(f"Object changed during the query: {pin.path}")
 
 
 def unchanged(scan: DataFrame, pin: Pin) -> DataFrame:
     """scan, failing on the first row if the file that it lists is not as it was pinned.
 
     This covers the time from the pin to the scan's own listing. Changes after that are the file system's to notice: S3A
-    compares etags while it reads (see config), a local file system notices nothing.
+    compares etags while it reads (see config); for others a caller can verify() the pin when it has its results.
     """
     same = (F.col("_metadata.file_size") == pin.size) & (F.unix_millis("_metadata.file_modification_time") == pin.modified_ms)
     return scan.where(F.when(same, True).otherwise(F.raise_error(F.lit(f"Object changed during the query: {pin.path}")).cast("boolean")))
@@ -97,12 +136,7 @@ def objects(spark: SparkSession, bucket: str, prefix: str, recursive: bool):
                 else:
                     yield key, None, None, None
             else:
-                etag = getattr(status, "getEtag", None)
-                try:
-                    etag = etag() if etag else None
-                except Exception:  # file systems without etags have no such method in the JVM
-                    etag = None
-                yield key, int(status.getLen()), int(status.getModificationTime()), etag
+                yield key, int(status.getLen()), int(status.getModificationTime()), _told(status, "getEtag")
 
     yield from walk(prefix.rpartition("/")[0] + "/" if "/" in prefix else "")
 
