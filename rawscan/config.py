@@ -10,6 +10,8 @@ from rawscan.errors import RawScanError
 
 #: Session setting: megabytes of a split where a loader's split_size_mb is -1. Unset, the session's own scan settings count.
 DEFAULT_SPLIT = "rawscan.split.default-mb"
+#: The store of an application that listings go to by HTTP; its keys are never put into a session's settings.
+STORES: dict[str, StoreConfig] = {}
 # Credential providers of the three ways to sign in.
 _PROVIDERS = {
     "default": None,
@@ -89,12 +91,26 @@ class StoreConfig:
         }
         return {k: v for k, v in found.items() if v is not None}
 
+    def listing(self) -> dict[str, str]:
+        """The options of a listing over HTTP."""
+        signs = self.access_key and self.auth_mode != "anonymous"
+        return {
+            "endpoint": self.endpoint or f"https://s3.{self.region}.amazonaws.com",
+            "region": self.region,
+            "access": self.access_key if signs else "",
+            "secret": self.secret_key if signs else "",
+            "pathStyle": str(self.path_style_access).lower(),
+            "timeout": str(self.acquisition_timeout_s),
+        }
+
     def apply(self, spark) -> None:
         """Puts the settings into the application's Hadoop configuration, and the loaders' default split size and store into the session."""
         hadoop = spark.sparkContext._jsc.hadoopConfiguration()
         for k, v in self.hadoop().items():
             hadoop.set(k, v)
         spark.conf.set(DEFAULT_SPLIT, str(self.default_split_size_mb))
+        if self.endpoint or self.access_key or self.auth_mode == "anonymous":  # else the default chain signs, which is S3A's
+            STORES[spark.sparkContext.applicationId] = self
 
 
 def split_bytes(spark, value) -> int | None:

@@ -7,9 +7,10 @@ from itertools import islice
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawscan import args, storage
+from rawscan import args, config, storage
+from rawscan.shipping import ship
+from rawscan.sources import store_listing
 
-_OBJECTS = "bucket string, key string, size bigint, modified bigint, etag string, prefix boolean"
 #: Rows of a page of a listing.
 PAGE = 1024
 
@@ -27,6 +28,16 @@ def _paged(spark: SparkSession, rows, schema: str) -> DataFrame:
     return spark.createDataFrame(pa.Table.from_batches(pages, kind))
 
 
+def _over_http(spark: SparkSession, **options: str) -> DataFrame | None:
+    """The listing as pages over HTTP, where the session's buckets are those of a store that config.STORES knows."""
+    store = config.STORES.get(spark.sparkContext.applicationId)
+    if store is None or spark.conf.get(storage.ROOT, None):
+        return None
+    ship(spark)
+    spark.dataSource.register(store_listing.ListingSource)
+    return spark.read.format(store_listing.NAME).options(**store.listing(), **options).load()
+
+
 def list_objects(
     spark: SparkSession, bucket: str, prefix: str = "", recursive_listing: str | bool = "true", include_prefixes: str | bool = "false"
 ) -> DataFrame:
@@ -34,11 +45,16 @@ def list_objects(
 
     Without recursive_listing keys end at the next / after the prefix; the prefixes that this makes are rows of type
     `prefix`, without size, date and etag, where include_prefixes asks for them.
+
+    A store that was set by StoreConfig.apply is listed while rows are read, a page at a time by one task, so that LIMIT
+    stops the listing; other file systems are listed folder by folder when this is called.
     """
     name, start = args.bucket(bucket), args.prefix(prefix)
     deep, shown = args.optional_boolean("RECURSIVE_LISTING", recursive_listing, True), args.optional_boolean("INCLUDE_PREFIXES", include_prefixes, False)
-    found = storage.objects(spark, name, start, deep)
-    rows = _paged(spark, ((name, k, s, m, e, k.endswith("/")) for k, s, m, e in found if shown or not k.endswith("/")), _OBJECTS)
+    rows = _over_http(spark, bucket=name, prefix=start, recursive=str(deep).lower(), prefixes=str(shown).lower())
+    if rows is None:
+        found = storage.objects(spark, name, start, deep)
+        rows = _paged(spark, ((name, k, s, m, e, k.endswith("/")) for k, s, m, e in found if shown or not k.endswith("/")), store_listing.OBJECTS)
     bare = F.regexp_replace("key", "/$", "")
     return rows.select(
         F.concat(F.lit("s3://"), "bucket", F.lit("/"), "key").alias("path"),
@@ -55,7 +71,9 @@ def list_objects(
 
 def list_buckets(spark: SparkSession) -> DataFrame:
     """path, bucket, creation_date of each bucket."""
-    rows = _paged(spark, iter(storage.buckets(spark)), "bucket string, created bigint")
+    rows = _over_http(spark)
+    if rows is None:
+        rows = _paged(spark, iter(storage.buckets(spark)), store_listing.BUCKETS)
     return rows.select(
         F.concat(F.lit("s3://"), "bucket").alias("path"), "bucket", F.timestamp_millis("created").alias("creation_date")
     )
