@@ -1,30 +1,51 @@
-"""What the operators share: the folder for intermediate tables and the list of hot keys."""
+"""What the operators share: intermediate tables in the shared folder, hot keys, and names that nobody has taken."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rawscan.storage import file_system, shared_dir
+
 #: Keys that are dealt out by salt. The list is broadcast; its length never depends on the data.
 HOT_KEYS = 1000
 #: Into how many parts a hot key is dealt.
 SALTS = 64
+#: Spark's default for the bytes of a batch between the JVM and Python, and what own jobs use in its place: a worker holds
+#: a batch several times over, and an executor has as many workers as cores.
+_BATCH, _DEFAULT, _BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where it is unset, a local one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='rawscan-shared-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many _ behind it as it takes to be none of df's columns, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bounds the batches between the JVM and Python for the jobs inside, unless the session sets them itself."""
+    default = spark.conf.get(_BATCH, _DEFAULT) == _DEFAULT
+    if default:
+        spark.conf.set(_BATCH, _BYTES)
+    try:
+        yield
+    finally:
+        if default:
+            spark.conf.unset(_BATCH)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -33,17 +54,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The table and its path. It goes with the application, or before by dropped()."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    fs, at = file_system(spark, path)
+    fs.deleteOnExit(at)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def dropped(spark: SparkSession, path: str) -> None:
-    """Deletes a table of stored_at that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Deletes tables of stored_at that nothing reads any more."""
+    for path in paths:
+        fs, at = file_system(spark, path)
+        fs.delete(at, True)
 
 
 def hot_keys(keyed: DataFrame, key: str) -> DataFrame:

@@ -77,6 +77,7 @@ def oracle_sql():
         "op4_chat_format": chat.ORACLE,
         "op5_exact_dedup": exact_dedup.ORACLE,
         "op6_line_dedup": line_dedup.ORACLE,
+        "op8_ngram_jaccard": jaccard.ORACLE,
         "op9_top_k": topk.ORACLE,
         "op10_license_scan": licenses.ORACLE,
     }
