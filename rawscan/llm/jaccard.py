@@ -17,7 +17,7 @@ from rawscan.llm.components import components
 from rawscan.shipping import ship
 
 #: Words whose hashes a worker remembers; tokens of a chunk: those that it holds before it hands them on.
-REMEMBERED, HELD = 250_000, 1_000_000
+REMEMBERED, HELD = 250_000, 400_000
 #: Tokens of a bucket, about, and buckets at least.
 BUCKET_TOKENS, MIN_BUCKETS = 500_000, 32
 #: Tables of up to so many rows (of some 20 bytes) are broadcast; larger ones are joined by shuffle.
