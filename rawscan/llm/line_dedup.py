@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rawscan.llm.common import hot_keys, replicated, salted, stored
+from rawscan.llm.common import dropped, hot_keys, replicated, salted, stored_at, unused
 
 #: Precision of the sketches (log2 of their registers), and the standard errors around the threshold that are counted exactly.
 LOG_REGISTERS, NEAR_SIGMAS = 10, 4
@@ -27,6 +27,15 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFr
     )
 
 
+def _of_few(lines: DataFrame, few: DataFrame, broadcast_lines: int) -> DataFrame:
+    """lines whose hashes are in few, with its further columns. More of them than broadcast_lines are joined by shuffle, with
+    hot lines dealt by salt."""
+    if few.count() <= broadcast_lines:
+        return lines.join(F.broadcast(few), ["_k1", "_k2"])
+    hot = hot_keys(lines.select("_k1"), "_k1")
+    return salted(lines, hot, "_k1", F.xxhash64("_id", "_pos")).join(replicated(few, hot, "_k1"), ["_k1", "_k2", "_salt"]).drop("_salt")
+
+
 def line_dedup(
     docs: DataFrame,
     min_sites: int = 10,
@@ -34,24 +43,30 @@ def line_dedup(
     text_col: str = "text",
     site_col: str = "source",
     broadcast_lines: int = BROADCAST_LINES,
+    names: tuple[str, str] = ("n_lines", "n_removed"),
 ) -> DataFrame:
-    """docs with cross-site boilerplate lines removed from the text, and n_lines, n_removed.
+    r"""docs with cross-site boilerplate lines removed from the text, and n_lines, n_removed under the given names.
 
-    A line, trimmed of spaces, is boilerplate when it occurs in at least min_sites distinct sites. Each line's sites go
-    into a HyperLogLog sketch, merged by aggregation on 128 bits of line hash; estimates that lie within NEAR_SIGMAS
-    standard errors of the threshold are replaced by exact distinct counts. Of a boilerplate line the first occurrence
-    (smallest id, then smallest place) stays, so that nothing vanishes from the corpus; all others go.
+    A line, trimmed of spaces, is boilerplate when it occurs in at least min_sites distinct sites. Lines that occur that
+    often at all, known by 128 bits of their hash, get a HyperLogLog sketch of their sites, merged by aggregation;
+    estimates that lie within NEAR_SIGMAS standard errors of the threshold are replaced by exact distinct counts. Of a
+    boilerplate line the first occurrence (smallest id, then smallest place) stays, so that nothing vanishes from the
+    corpus; all others go.
 
-    Lines are what "\\n" separates; blank ones are never boilerplate. Null text stays null and has no lines to remove
-    (n_lines 0); a null site counts as a site named ''. Repeated rows are documents of their own with the same first
-    occurrence, which stays in each. Empty input gives no rows; other columns are kept, and columns named n_lines or
-    n_removed are replaced.
+    Lines are what "\n" separates; blank ones are never boilerplate. Null text stays null and has no lines to remove
+    (n_lines 0); a null site counts as a site named '', a null id comes before all others. Repeated rows are documents of
+    their own with the same first occurrence, which stays in each. A text of any number of lines costs time in proportion.
+    Empty input gives no rows; other columns are kept whatever their names, but for columns of the given names, which are
+    replaced.
     """
     lines = _lines(docs, id_col, text_col, site_col)
     low = min_sites * (1 - NEAR_SIGMAS * 1.04 / math.sqrt(1 << LOG_REGISTERS))
     high = min_sites * (1 + NEAR_SIGMAS * 1.04 / math.sqrt(1 << LOG_REGISTERS))
-    spread = stored(
-        lines.groupBy("_k1", "_k2")
+    counts = lines.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_sites)
+    often, often_path = stored_at(counts.select("_k1", "_k2"), "frequent-lines")
+    spread, spread_path = stored_at(
+        _of_few(lines, often, broadcast_lines)
+        .groupBy("_k1", "_k2")
         .agg(
             F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(LOG_REGISTERS))).alias("sites"),
             F.min(F.struct("_id", "_pos", "_doc")).alias("_first"),
@@ -61,43 +76,39 @@ def line_dedup(
     )
     near = spread.where(F.col("sites") <= math.ceil(high))
     exact = (
-        lines.select("_k1", "_k2", "_site")
+        _of_few(lines, near.select("_k1", "_k2"), broadcast_lines)
+        .select("_k1", "_k2", "_site")
         .distinct()
-        .join(near.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi")
         .groupBy("_k1", "_k2")
         .agg(F.count(F.lit(1)).alias("exact"))
     )
-    boilerplate = stored(
+    boilerplate, _ = stored_at(
         near.join(exact, ["_k1", "_k2"])
         .where(F.col("exact") >= min_sites)
         .select("_k1", "_k2", "_first")
         .unionByName(spread.where(F.col("sites") > math.ceil(high)).select("_k1", "_k2", "_first")),
         "boilerplate",
     )
-    if boilerplate.count() <= broadcast_lines:
-        found = lines.join(F.broadcast(boilerplate), ["_k1", "_k2"])
-    else:
-        hot = hot_keys(lines.select("_k1"), "_k1")
-        found = salted(lines, hot, "_k1", F.xxhash64("_id", "_pos")).join(
-            replicated(boilerplate, hot, "_k1"), ["_k1", "_k2", "_salt"]
-        )
+    dropped(docs.sparkSession, often_path, spread_path)
+    of, of_doc, bad = unused(docs, "_of", "_of_doc", "_bad")
     removed = (
-        found.where(~F.struct("_id", "_pos", "_doc").eqNullSafe(F.col("_first")))
-        .groupBy("_id", "_doc")
-        .agg(F.collect_set("_pos").alias("_bad"))
-        .withColumnRenamed("_id", "_of")
-        .withColumnRenamed("_doc", "_of_doc")
+        _of_few(lines, boilerplate, broadcast_lines)
+        .where(~F.struct("_id", "_pos", "_doc").eqNullSafe(F.col("_first")))
+        .groupBy(F.col("_id").alias(of), F.col("_doc").alias(of_doc))
+        .agg(F.collect_set("_pos").alias(bad))
     )
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.join(
-        removed, docs[id_col].eqNullSafe(removed["_of"]) & (F.xxhash64(docs[text_col]) == removed["_of_doc"]), "left"
+    own = [c for c in docs.columns if c.lower() not in [n.lower() for n in names]]
+    joined = docs.join(removed, docs[id_col].eqNullSafe(removed[of]) & (F.xxhash64(docs[text_col]) == removed[of_doc]), "left")
+    text, gone = docs[text_col], removed[bad]
+    # The outer transform names the lines, so that the text is split once; array_except looks places up by hash.
+    left = F.transform(
+        F.array(F.split(text, "\n")),
+        lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), gone), lambda i: F.get(x, i)), "\n"),
     )
-    split = F.split(F.col(text_col), "\n")
-    kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(F.col("_bad"), i)), "\n")
     return joined.select(
-        *[F.when(F.col("_bad").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_col else docs[c] for c in own],
-        F.coalesce(F.size(split), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("_bad"), F.lit(0)).cast("bigint").alias("n_removed"),
+        *[F.when(gone.isNull(), text).otherwise(F.get(left, F.lit(0))).alias(c) if c == text_col else docs[c] for c in own],
+        F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).cast("bigint").alias(names[0]),
+        F.coalesce(F.size(gone), F.lit(0)).cast("bigint").alias(names[1]),
     )
 
 
