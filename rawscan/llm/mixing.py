@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rawscan.llm.common import stored_at, unused
+
 #: All sources without a target weight of their own, and the null source.
 REST = "*"
 #: Ids of a class are ranked in so many buckets at least, each of about BUCKET_ROWS rows.
 MIN_BUCKETS, BUCKET_ROWS = 1024, 4096
+#: A bucket of more rows holds many rows of few ids; then all rows are ranked by a sort instead, in parts of SORT_ROWS rows.
+HOT_ROWS, SORT_ROWS = 1_000_000, 1_000_000
+#: The columns that the operator makes.
+MADE = ("mix_class", "mix_block", "mix_release", "mix_slot", "mix_deadline", "mix_position")
 
 
 def schedule(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
@@ -54,6 +60,12 @@ def schedule(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
     )
 
 
+def _hashed(docs: DataFrame, columns: list[str]) -> Column:
+    """A hash of the columns; maps, which have no hash, count as JSON."""
+    with_map = lambda c: "map<" in docs.schema[c].dataType.simpleString()
+    return F.xxhash64(*[F.to_json(F.struct(F.col(c))) if with_map(c) else F.col(c) for c in columns])
+
+
 def mix(docs: DataFrame, weights: dict[str, int], block_rows: int = 64, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """docs with mix_class, mix_block, mix_release, mix_slot, mix_deadline and mix_position, the order of the mixed stream.
 
@@ -63,49 +75,56 @@ def mix(docs: DataFrame, weights: dict[str, int], block_rows: int = 64, id_col:
     which keeps the order of the others, and before the first class runs out each deviates by less than one block.
 
     The rank in a class is a bucket's offset plus the rank in the bucket; buckets are ranges of md5, so that a class
-    with a third of all rows is ranked by as many tasks as its rows need.
+    with a third of all rows is ranked by as many tasks as its rows need. Where one id stands on so many rows that its
+    bucket is too large for a task, the rows are written, dealt by ranges with a number of their own as the last key,
+    and ranked by the offsets of these ranges.
 
     A null source belongs to REST, which has one part where weights doesn't name it. A null id is ranked as an empty
-    string; rows with equal ids are ranked in the order of a hash of all their columns. An empty table gives no rows.
-    Columns of the operator's own names are replaced.
+    string; rows with equal ids are ranked in the order of a hash of all their columns, equal rows in any order. Texts
+    and other columns of any length are passed on. An empty table gives no rows. Columns of the names in MADE are
+    replaced; others are kept, whatever their names.
     """
     spark = docs.sparkSession
     weights = weights if REST in weights else weights | {REST: 1}
     period = sum(weights.values())
-    own = [c for c in docs.columns if not c.startswith("mix_")]
+    own = [c for c in docs.columns if c.lower() not in MADE]
+    key, bucket, tie, rank, part, at, offset, class_ = unused(docs, "_mix_key", "_mix_bucket", "_mix_tie", "_mix_rank", "_mix_part", "_mix_at", "_mix_offset", "_mix_class")
     named = F.col(source_col).isin([w for w in weights if w != REST])
     buckets = max(MIN_BUCKETS, -(-docs.count() // BUCKET_ROWS))
     keyed = docs.select(
         *own,
-        F.when(named, F.col(source_col)).otherwise(REST).alias("mix_class"),
-        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("mix_key"),
-    ).withColumn("mix_bucket", F.expr(f"cast(conv(substr(mix_key, 1, 8), 16, 10) AS bigint) * {buckets} div 4294967296"))
-    before = Window.partitionBy("mix_class").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        keyed.groupBy("mix_class", "mix_bucket")
-        .agg(F.count(F.lit(1)).alias("mix_n"))
-        .select("mix_class", "mix_bucket", F.coalesce(F.sum("mix_n").over(before), F.lit(0)).alias("mix_offset"))
-    )
-    inside = Window.partitionBy("mix_class", "mix_bucket").orderBy("mix_key", id_col, F.xxhash64(*own))
-    ranked = (
-        keyed.withColumn("mix_rank", F.row_number().over(inside) - 1)
-        .join(offsets, ["mix_class", "mix_bucket"])
-        .withColumn("mix_rank", F.col("mix_rank") + F.col("mix_offset"))
-        .withColumn("mix_block", F.expr(f"mix_rank div {block_rows}"))
-    )
+        F.when(named, F.col(source_col)).otherwise(REST).alias(class_),
+        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias(key),
+    ).withColumn(bucket, F.expr(f"cast(conv(substr({key}, 1, 8), 16, 10) AS bigint) * {buckets} div 4294967296"))
+    counts, _ = stored_at(keyed.groupBy(class_, bucket).agg(F.count(F.lit(1)).alias("n")), "mix-buckets")
+    hash_ = _hashed(docs, own)
+    if counts.where(F.col("n") > HOT_ROWS).isEmpty():
+        before = Window.partitionBy(class_).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(class_, bucket, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(offset))
+        inside = Window.partitionBy(class_, bucket).orderBy(key, id_col, hash_)
+        ranked = keyed.withColumn(at, F.row_number().over(inside) - 1).join(offsets, [class_, bucket])
+    else:
+        rows = counts.agg(F.sum("n")).first()[0]
+        order = [class_, key, id_col, tie, at]
+        numbered, _ = stored_at(keyed.withColumns({tie: hash_, at: F.monotonically_increasing_id()}), "mix-rows")
+        dealt = numbered.repartitionByRange(max(2, -(-rows // SORT_ROWS)), *order).sortWithinPartitions(*order)
+        placed, _ = stored_at(dealt.withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id()}), "mix-order")
+        starts = placed.groupBy(class_, part).agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
+        before = Window.partitionBy(class_).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = starts.select(class_, part, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias(offset))
+        ranked = placed.join(F.broadcast(offsets), [class_, part])  # a row for each part and class at most
+    ranked = ranked.withColumn(rank, F.col(at) + F.col(offset)).withColumn("mix_block", F.expr(f"{rank} div {block_rows}"))
     plan = F.broadcast(schedule(spark, weights).toDF("mix_class", "mix_parts", "mix_nth", "mix_first", "mix_in", "mix_last"))
-    placed = ranked.join(
-        plan, (ranked["mix_class"] == plan["mix_class"]) & (F.expr("mix_block % mix_parts") == plan["mix_nth"])
-    ).drop(plan["mix_class"])
-    at = F.expr(f"mix_block div mix_parts * {period}")
+    placed = ranked.join(plan, (ranked[class_] == plan["mix_class"]) & (ranked["mix_block"] % plan["mix_parts"] == plan["mix_nth"]))
+    begin = F.call_function("div", ranked["mix_block"], plan["mix_parts"]) * period
     return placed.select(
-        *own,
-        "mix_class",
-        "mix_block",
-        (at + F.col("mix_first")).alias("mix_release"),
-        (at + F.col("mix_in")).alias("mix_slot"),
-        (at + F.col("mix_last")).alias("mix_deadline"),
-        ((at + F.col("mix_in")) * block_rows + F.col("mix_rank") % block_rows).alias("mix_position"),
+        *[ranked[c] for c in own],
+        ranked[class_].alias("mix_class"),
+        ranked["mix_block"],
+        (begin + plan["mix_first"]).alias("mix_release"),
+        (begin + plan["mix_in"]).alias("mix_slot"),
+        (begin + plan["mix_last"]).alias("mix_deadline"),
+        ((begin + plan["mix_in"]) * block_rows + ranked[rank] % block_rows).alias("mix_position"),
     )
 
 
