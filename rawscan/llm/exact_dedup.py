@@ -14,11 +14,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Texts are equal when identical, without any normalisation; of equal texts the row with the largest id stays.
     Each stage groups by the digest and the full text: first inside each partition (the map side of the first
     shuffle), then by digest and salt, then, for the hot digests alone, over their salts. So a text of a third of
-    all rows costs one row per partition. Only texts of hot digests are shuffled a second time.
+    all rows costs one row per partition. Only texts of hot digests are shuffled a second time. Rows then find their
+    group by digest and length; each digest is held against the texts that the stages have told apart, and one that
+    stood for two texts would fail the query, so that a row never gets a group of another content.
 
     Null text counts as empty; a null id is a row of its own that stays only if its group has no other id; rows
     repeated with the same id all count in group_size and are all kept or all dropped. Empty input gives no rows;
-    further columns are ignored.
+    further columns are ignored, whatever their names. A text of any length is compared as a whole.
     """
     base = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).select(
         "_id", "_text", F.sha2("_text", 256).alias("_sha"), F.xxhash64("_text").alias("_key")
@@ -36,7 +38,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .agg(F.max("_keep").alias("_keep"), F.sum("_size").alias("_size"))
         .select("_key", "_sha", F.length("_text").alias("_len"), "_keep", "_size")
     )
-    winners = replicated(whole.unionByName(combined), hot, "_key")
+    winners = (
+        replicated(whole.unionByName(combined), hot, "_key")
+        .groupBy("_key", "_sha", "_len", "_salt")  # as the join below deals them
+        .agg(F.count(F.lit(1)).alias("_texts"), F.max("_keep").alias("_keep"), F.max("_size").alias("_size"))
+        .withColumn("_size", F.when(F.col("_texts") == 1, F.col("_size")).otherwise(F.raise_error(F.lit("two texts have one digest")).cast("bigint")))
+    )
     narrow = salted(
         base.select("_id", "_key", "_sha", F.length("_text").alias("_len")), hot, "_key", F.xxhash64("_id")
     )
