@@ -69,6 +69,30 @@ def test_texts_without_letters_and_extremes(spark, model):
     assert next(r.lang_pred for r in found if r.doc_id == 6) in KINDS
 
 
+def test_rejection_is_calibrated(labelled, model):
+    """Clean held-out rows stay; texts in no language go, with a threshold that the held-back rows and noise decide."""
+    clean = language.predict(labelled, model).withColumn("held", language.fold() == 1).where("held").collect()
+    assert sum(r.rejected for r in clean) <= 0.01 * len(clean) and 0.34 < model.threshold < 1
+    rng = random.Random(6)
+    noise = ["".join(rng.choice("bcdfghjklmnpqrstvwxz ") for _ in range(200)) for _ in range(100)] + ["日本語 テキスト " * 9, "Привет мир как дела " * 9]
+    p = model.probabilities(noise).max(1)
+    assert (p < model.threshold).mean() > 0.8
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(4)
+    data = [(i, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{rng.choice('xyz')}" for _ in range(30)), f"l{k:03d}", None) for i in range(4500) for k in [i % 300]]
+    found = language.fit(spark.createDataFrame(data, DOCS), language.Settings(sample_rows=250, epochs=1))
+    assert len(found.languages) == 300 and found.table.shape[1] == 16 and found.linear.shape == (16, 300)
+
+
+def test_where_a_long_text_is_cut_does_not_matter(model):
+    text = _speech(random.Random(9), KINDS["aa"], 120_000)
+    ids, n = language._bag(language._plain(text), model.settings)
+    assert n.sum() > 3 * 250_000
+    assert np.allclose(language._means(model.table, [text], model.settings), language._mean_of(model.table, [(ids, n)]), atol=1e-6)
+
+
 def test_nothing_to_learn_from(spark):
     empty = spark.createDataFrame([], DOCS)
     assert language.fit(empty) is None and rows(language.predict(empty, None)) == []
@@ -200,6 +224,34 @@ def test_jaccard_components(spark, seed, monkeypatch):
     assert len({c for _, c in want.values()}) < len(data) - 30
 
 
+def test_jaccard_of_an_id_with_several_texts(spark):
+    rng = random.Random(12)
+    one, two, three = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(3))
+    near = lambda t: t.rsplit(" ", 3)[0]
+    data = [(5, one), (5, two), (7, near(one)), (9, near(two)), (11, three), (12, three), (12, "alone"), (13, near(three)), (14, "alone"), (15, "other"), (15, ""), (16, "")]
+    found = rows(jaccard.jaccard_components(spark.createDataFrame([(i, t, None, None) for i, t in data], DOCS).repartition(3)))
+    want = {5: 5, 7: 5, 9: 5, 11: 11, 12: 11, 13: 11, 14: 11, 15: 15, 16: 16}
+    assert len(found) == len(data) and {(i, c) for i, _, c in found} == set(want.items())
+    assert sorted(n for i, n, _ in found if i == 12) == [1, 76]
+
+
+def test_jaccard_with_a_shingle_that_all_have(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "HELD", 2000)
+    rng = random.Random(2)
+    common = "c1 c2 c3 c4 c5 c6"
+    data = [(i, f"{common} " + " ".join(f"w{rng.randrange(10**5)}" for _ in range(rng.randint(1, 12)))) for i in range(600)]
+    data += [(600 + i, data[i][1] + " end") for i in range(0, 600, 7)]
+    docs = spark.createDataFrame([(i, t, None, None) for i, t in data], DOCS).repartition(3)
+    assert {i: (n, c) for i, n, c in rows(jaccard.jaccard_components(docs))} == jaccard_plain(data)
+
+
+def test_members_of_a_group_that_its_leader_is_not_linked_with(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 4000)
+    data = [(i, " ".join(f"w{k}" for k in range(i * 3, i * 3 + 100))) for i in range(90)]  # a chain: each is near the next ones alone
+    docs = spark.createDataFrame([(i, t, None, None) for i, t in data], DOCS).repartition(3)
+    assert {i: (n, c) for i, n, c in rows(jaccard.jaccard_components(docs))} == jaccard_plain(data)
+
+
 def test_jaccard_of_an_empty_table(spark):
     assert rows(jaccard.jaccard_components(spark.createDataFrame([], DOCS))) == []
 
@@ -259,6 +311,20 @@ def test_top_k(spark, group, monkeypatch):
     assert set(found) == topk_plain(data, 5, 50) and len(found) == len(set(found))
 
 
+def test_top_k_of_long_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SERVED", 1)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    rng = np.random.default_rng(3)
+    data = [(i, (rng.normal(size=1536) * (1 + i % 5)).tolist(), None) for i in range(400)]
+    found = rows(topk.top_k(spark.createDataFrame(data, VECTORS).repartition(3), 5, 10))
+    v = np.floor(256 * np.array([x for _, x, _ in data], np.float32).astype(float))
+    want = set()
+    for q in range(0, 400, 10):
+        scores = sorted((-int(s), i) for i, s in enumerate(v @ v[q]) if i != q)[:5]
+        want |= {(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)}
+    assert set(found) == want
+
+
 def test_top_k_with_few_rows_and_repeated_rows(spark):
     data = [(0, [1.0, 2.0], None), (0, [1.0, 2.0], None), (1, [3.0, 1.0], None), (2, [3.0, 1.0], None)]
     assert sorted(rows(topk.top_k(spark.createDataFrame(data, VECTORS)))) == [(0, 1, 1, 327_680), (0, 2, 2, 327_680)]

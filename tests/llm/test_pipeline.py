@@ -96,3 +96,18 @@ def test_near_duplicates_keeps_rows_without_id_and_one_row_an_id(spark):
     found = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(data, DOCS), "").collect()
     want = [data[0], data[1], data[2], data[3], data[7]]
     assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+
+
+def test_columns_with_clashing_names_and_rows_without_id_pass_the_stages(spark, made, tmp_path):
+    more = ["lang_pred", "score", "rejected", "n_lines", "n_removed", "_bad", "_of", "mix_notes", "mix_position", "mix_block", "rank", "id", "tok", "chunk", "_text", "Score_", "_mix_key"]
+    data = [(*row, *[f"{c}{k}" for c in more]) for k, row in enumerate(made[:120] + made[300:])] + [(None, made[0][1], "aa", None, 5, *more), (None, made[0][1], "aa", None, 5, *more)]
+    docs = spark.createDataFrame(data, DOCS + "".join(f", {c} string" for c in more))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"file://{tmp_path}/{name}")
+        docs = spark.read.parquet(f"file://{tmp_path}/{name}")
+        assert set(docs.columns) == set(DOCS.replace(",", "").split(" ")[::2]) | set(more)
+        found = docs.collect()
+        assert sum(r.doc_id is None for r in found) == 2
+        own = {(r[0], r[5:]) for r in data}
+        assert all((r.doc_id, tuple(str(r[c]) for c in more)) in own for r in found) or name == "mixing"
+        assert {(r.doc_id, r.lang_pred, r._bad, r.mix_notes, r.Score_) for r in found} <= {(r[0], r[5], r[10], r[12], r[20]) for r in data}
