@@ -151,9 +151,10 @@ RULES = [
     *[(name, [f"named-{name}"]) for name in dict.fromkeys(NAMES.values())],
     ("All-Rights-Reserved", ["all-rights"]),
 ]
-#: Every known sentence has one of these; texts without any are not split. Each is within one word, since texts are
-#: searched before white space and punctuation are normalised.
-KEYWORDS = "licen|copyright|permission|software|reserved|redistribut|warrant|general|mpl|advertising|copies|anyone"
+#: Whatever names a licence has one of VERBS in its sentence, and every known sentence has one of KEYWORDS. For callers that look
+#: for texts worth a scan; the scan itself reads every text.
+VERBS = "licen|released|distributed|available|published|provided"
+KEYWORDS = f"{VERBS}|copyright|permission|software|reserved|redistribut|warrant|general|mpl|advertising|copies|anyone"
 # Where a sentence that isn't known names a licence, what stands before and after the name.
 SHORT = "(?:licensed|released|distributed|available|published|provided) (?:(?:to you )?under|subject to) (?:the )?(?:terms (?:and conditions )?of )?(?:the |a |an )?"
 AFTER = "(?: (?:see|which|for|or|and|as|in|you|the|at|https?|with|but|available|unless|copyright|c|by|full|please|details) .*)?"
@@ -173,7 +174,7 @@ SPACE, ENDS, BLANK, MARK = "[ \\t\\r\\n]+", "([.!?])[ \\t\\r\\n]+", "\\n[ \\t\\r
 
 
 def _plain(x: Column) -> Column:
-    found = F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " "))
+    found = F.trim(F.regexp_replace(F.lower(F.translate(x, "\u0130", "i")), "[^a-z0-9]+", " "))  # else \u0130 becomes i and a mark
     for pattern, to in HOLDERS:
         found = F.regexp_replace(found, pattern, to.replace("\\1", "$1"))
     return found
@@ -191,11 +192,11 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     UNKNOWN where none of the rules matches. sentences is the sequence of identifiers, n_sentences its length, unmatched
     how many no rule took.
 
-    Null and empty texts have no sentence; texts of any length are read as a whole. Repeated rows give repeated results;
+    Null and empty texts have no sentence; every text is split and read as a whole, of any length. Repeated rows give repeated results;
     empty input no rows; further columns are ignored, whatever their names.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("_id"), F.when(F.lower(text).rlike(KEYWORDS), text).otherwise("").alias("_text"))
+    keyed = docs.select(F.col(id_col).alias("_id"), text.alias("_text"))
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     names = F.create_map(*[F.lit(x) for pair in NAMES.items() for x in pair])
     listed = "|".join(sorted(NAMES, key=lambda n: (-len(n), n)))
@@ -207,7 +208,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def ids(parts):
         plain = F.filter(F.transform(parts, _plain), lambda x: x != "")
-        told = F.transform(plain, lambda x: F.coalesce(F.try_element_at(known, x), F.when(x.rlike("licen|released|distributed|available|published|provided"), named(x))))
+        told = F.transform(plain, lambda x: F.coalesce(F.try_element_at(known, x), F.when(x.rlike(VERBS), named(x))))
         return F.filter(told, lambda x: x.isNotNull())
 
     split = F.when(F.col("_text") == "", F.array().cast("array<string>"))

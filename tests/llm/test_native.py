@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 from fractions import Fraction
 
+import duckdb
 import pytest
 
 from rawscan.llm import chat, exact_dedup, licenses, line_dedup, mixing, secrets
@@ -268,6 +269,21 @@ def test_license_sentences_broken_at_any_word(spark, between):
     assert {i: s for i, (_, s) in found.items()} == {i: licenses.SENTENCES[s] for i, s in enumerate(sentences)}
 
 
+VERBS = ["licensed", "Released", "DISTRIBUTED", "Available", "published", "Provided", "L\u0130CENSED"]
+
+
+@pytest.mark.parametrize("verb", VERBS)
+def test_license_named_by_any_verb_without_another_keyword(spark, verb):
+    texts = [f"{verb} under the {n}." for n in licenses.NAMES] + [f"The code is {verb} subject to the terms of the {n}" for n in licenses.NAMES]
+    texts += [f"It is available at x, {verb} under MIT", f"word {verb} word. " * 50 + f"{verb} under 0BSD"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("INSERT INTO documents SELECT unnest(range(len($1))), unnest($1)", [texts])
+    found = rows(licenses.license_scan(spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], DOCS)))
+    assert found == sorted(con.execute(licenses.ORACLE).fetchall())
+    assert [r[1] for r in found[: 2 * len(licenses.NAMES)]] == [*licenses.NAMES.values()] * 2
+
+
 # --- secrets ---
 
 
