@@ -28,3 +28,18 @@ def range_join(left: DataFrame, right: DataFrame, point: str, low: str, high: st
     cells = F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))
     spread = right.where(F.col(low) < F.col(high)).withColumn("_cell", F.explode(cells))
     return left.withColumn("_cell", F.floor(F.col(point) / width)).join(spread, "_cell").where((F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))).drop("_cell")
+
+
+def range_count(left: DataFrame, right: DataFrame, key: str, by: str, point: str, low: str, high: str, width: float) -> DataFrame:
+    """key and n: how many pairs left's rows of that key make with the rows of right of the same `by` and low <= point <= high;
+    0 where there are none, as an outer join counts.
+
+    Equal rows of either side meet once, with their number. They meet in cells of `width`, so that a `by` of very many rows
+    is dealt out over its cells; a pair lies in one cell alone and nothing is dropped at any width.
+    """
+    mine = left.groupBy(key, by, low, high).agg(F.count(F.lit(1)).alias("_m"))
+    theirs = right.groupBy(F.col(by).alias("_by"), F.col(point).alias("_point")).agg(F.count(F.lit(1)).alias("_n"))
+    cells = F.when(F.col(low) <= F.col(high), F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width)))
+    spread = mine.withColumn("_cell", F.explode_outer(cells))  # a row without a cell stays, with no pair
+    near = (F.col(by) == F.col("_by")) & (F.col("_cell") == F.floor(F.col("_point") / width)) & F.col("_point").between(F.col(low), F.col(high))
+    return spread.join(theirs, near, "left").groupBy(key).agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0).cast("bigint")).alias("n"))

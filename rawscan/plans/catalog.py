@@ -180,7 +180,6 @@ _QUERIES = {
     "host_setops": Query(f"(SELECT CAST(o_custkey AS bigint) AS k FROM {_ORDERS} INTERSECT SELECT k FROM {_CUSTOMERS}) EXCEPT SELECT k FROM {_CUSTOMERS} WHERE seg = 'BUILDING' UNION ALL SELECT -1", "(SELECT o_custkey AS k FROM orders INTERSECT SELECT c_custkey FROM customer) EXCEPT SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT -1"),
     "host_topk": Query(f"SELECT CAST(o_orderkey AS bigint) AS k, CAST(o_totalprice AS double) AS price FROM {_ORDERS} ORDER BY price DESC, k LIMIT 20", "SELECT o_orderkey AS k, o_totalprice AS price FROM orders ORDER BY price DESC, k LIMIT 20"),
     "host_semi_anti": Query(f"SELECT 'semi' AS kind, k FROM {_CUSTOMERS} c WHERE EXISTS (SELECT 1 FROM {_ORDERS} o WHERE CAST(o.o_custkey AS bigint) = c.k) UNION ALL SELECT 'anti', k FROM {_CUSTOMERS} c WHERE NOT EXISTS (SELECT 1 FROM {_ORDERS} o WHERE CAST(o.o_custkey AS bigint) = c.k)", "SELECT CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) THEN 'semi' ELSE 'anti' END AS kind, c_custkey AS k FROM customer"),
-    "host_outer_theta": Query(f"SELECT a.k AS k, count(b.k) AS n FROM {_CUSTOMERS} a LEFT JOIN {_CUSTOMERS} b ON a.seg = b.seg AND b.k BETWEEN a.k + 1 AND a.k + 20 GROUP BY a.k", "SELECT a.c_custkey AS k, count(b.c_custkey) AS n FROM customer a LEFT JOIN customer b ON a.c_mktsegment = b.c_mktsegment AND b.c_custkey BETWEEN a.c_custkey + 1 AND a.c_custkey + 20 GROUP BY 1"),
     "host_right_join": Query(f"SELECT c.k, count(o.o_orderkey) AS n FROM {_ORDERS} o RIGHT JOIN {_CUSTOMERS} c ON CAST(o.o_custkey AS bigint) = c.k AND o.o_orderstatus = 'P' GROUP BY c.k", "SELECT c_custkey AS k, count(o_orderkey) AS n FROM orders RIGHT JOIN customer ON o_custkey = c_custkey AND o_orderstatus = 'P' GROUP BY 1"),
     "host_full_join": Query(f"SELECT coalesce(a.k, b.k) AS k, a.seg AS one, b.seg AS two FROM (SELECT k, seg FROM {_CUSTOMERS} WHERE seg < 'H') a FULL OUTER JOIN (SELECT k, seg FROM {_CUSTOMERS} WHERE seg > 'B') b ON a.k = b.k", "SELECT coalesce(a.c_custkey, b.c_custkey) AS k, a.c_mktsegment AS one, b.c_mktsegment AS two FROM (SELECT * FROM customer WHERE c_mktsegment < 'H') a FULL OUTER JOIN (SELECT * FROM customer WHERE c_mktsegment > 'B') b ON a.c_custkey = b.c_custkey"),
     "host_lateral": Query(f"SELECT c.k, t.top, t.n FROM {_CUSTOMERS} c CROSS JOIN LATERAL (SELECT max(CAST(o.column_4 AS double)) AS top, count(*) AS n FROM TABLE(raw.csv.load(path => '{{orders-bare.csv}}', header => 'false')) o WHERE CAST(o.column_2 AS bigint) = c.k) t", "SELECT c_custkey AS k, top, n FROM customer, LATERAL (SELECT max(o_totalprice) AS top, count(*) AS n FROM orders WHERE o_custkey = c_custkey) t"),
@@ -228,11 +227,17 @@ def host_range(spark, sf_dir):
     return operators.range_join(customers, spans, "k", "lo", "hi", 8.0).select("k", "span")
 
 
+def host_outer_theta(spark, sf_dir):
+    customers = sql(spark, f"SELECT k, seg FROM {_CUSTOMERS}".replace("{customer.txt}", path(spark, sf_dir, "customer.txt")))
+    return operators.range_count(customers.selectExpr("k", "seg", "k + 1 AS lo", "k + 20 AS hi"), customers, "k", "seg", "k", "lo", "hi", 20.0)
+
+
 _MORE = {
     "list_recursive": (list_recursive, "SELECT 's3://tree/' || key AS path, 'tree' AS bucket, key, n_name || '.txt' AS name, 'r' || n_regionkey || '/' AS parent, strlen(n_name) + 1 AS size, 'object' AS type FROM (SELECT *, 'r' || n_regionkey || '/' || n_name || '.txt' AS key FROM nation)"),
     "list_prefixes": (list_prefixes, "SELECT DISTINCT 'r' || n_regionkey || '/' AS key, 'r' || n_regionkey AS name, '' AS parent, NULL::BIGINT AS size, 'prefix' AS type FROM nation UNION ALL SELECT 'top.txt', 'top.txt', '', 4, 'object'"),
     "list_buckets": (list_buckets, "SELECT * FROM (VALUES ('s3://data', 'data'), ('s3://tree', 'tree')) t(path, bucket)"),
     "host_asof": (host_asof, "SELECT l.user_id, l.event_id, r.value FROM (SELECT user_id, event_id FROM events WHERE event_type = 'click') l ASOF LEFT JOIN (SELECT * FROM events WHERE event_type <> 'click') r ON l.user_id = r.user_id AND l.event_id >= r.event_id"),
+    "host_outer_theta": (host_outer_theta, "SELECT a.c_custkey AS k, count(b.c_custkey) AS n FROM customer a LEFT JOIN customer b ON a.c_mktsegment = b.c_mktsegment AND b.c_custkey BETWEEN a.c_custkey + 1 AND a.c_custkey + 20 GROUP BY 1"),
     "host_range": (host_range, "SELECT a.c_custkey AS k, b.c_custkey AS span FROM customer a JOIN customer b ON a.c_custkey >= b.c_custkey AND a.c_custkey < b.c_custkey + 7"),
 }
 
