@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -18,6 +20,9 @@ SALTS = 64
 #: Spark's default for the bytes of a batch between the JVM and Python, and what own jobs use in its place: a worker holds
 #: a batch several times over, and an executor has as many workers as cores.
 _BATCH, _DEFAULT, _BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16m"
+#: A driver's garbage is collected this many seconds after the last time at the earliest.
+SETTLE_S = 3.0
+_settled = [0.0]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +53,15 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(_BATCH)
 
 
+def settle(spark: SparkSession) -> None:
+    """Has the driver's JVM collect its garbage after a step. By itself it lets its heap grow to the limit first, with the plans and tasks
+    of steps that are over, and the shuffle files and broadcasts that these hold stay as long."""
+    if time.monotonic() - _settled[0] >= SETTLE_S:
+        gc.collect()  # Python's references to the JVM's objects
+        spark.sparkContext._jvm.System.gc()
+        _settled[0] = time.monotonic()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: its lineage ends there, and lost executors cost nothing."""
     return stored_at(df, name)[0]
@@ -61,6 +75,7 @@ def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     fs.deleteOnExit(at)
     with small_batches(spark):
         df.write.parquet(path)
+    settle(spark)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from rawscan.llm.common import small_batches, unused
+from rawscan.llm.common import settle, small_batches, unused
 from rawscan.shipping import ship
 
 UND = "und"
@@ -249,6 +249,8 @@ def fit(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id"
     with small_batches(docs.sparkSession):
         found = chosen.mapInArrow(_examples(settings), "kind string, lang string, ids binary, n binary").toArrow()
     bags = sorted(zip(*[c.to_pylist() for c in found.columns], strict=True))
+    del found
+    settle(docs.sparkSession)
     of = lambda kind: [((np.frombuffer(i, np.uint32), np.frombuffer(n, np.uint32)), lang) for k, lang, i, n in bags if k == kind]
     return train(of("learned"), of("held"), of("window"), [bag for bag, _ in of("noise")], settings)
 
