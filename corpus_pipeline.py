@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawscan.llm import bpe, jaccard, language, line_dedup, mixing
-from rawscan.llm.common import stored, table, unused
+from rawscan.llm.common import settle, stored, table, unused
 from rawscan.llm.registry import vocabulary_path
 
 
@@ -18,6 +18,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Without labelled rows, as in an empty table, nothing is known and no row stays. All columns are passed on, whatever
     their names.
     """
+    settle(spark)
     names = unused(docs, "lang_pred", "score", "rejected")
     found = language.predict(docs, language.fit(docs), keep=tuple(c for c in docs.columns if c != "doc_id"), names=tuple(names))
     return found.where(~F.col(names[2])).withColumn("lang", F.coalesce("lang", names[0])).select(*docs.columns)
@@ -30,6 +31,7 @@ def cross_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     one site, a null doc_id comes first, and repeated rows keep the first occurrence each. An empty table gives none.
     All columns are passed on, whatever their names; n_chars follows the text.
     """
+    settle(spark)
     names = unused(docs, "n_lines", "n_removed")
     cleaned = line_dedup.line_dedup(docs, line_dedup.MIN_SITES, names=tuple(names))
     kept = cleaned.where((F.col(names[1]) == 0) | (F.trim(F.translate("text", "\n\r\t", "   ")) != ""))
@@ -43,6 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     that repeat a doc_id one stays: that with the smallest columns, in their order. Texts of any length are compared as a
     whole. An empty table gives none. All columns are passed on, whatever their names.
     """
+    settle(spark)
     found = jaccard.jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.where("doc_id IS NOT NULL").join(found, "doc_id", "left_semi")
     if not kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
@@ -57,6 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and repeated rows have places of their own. Texts don't matter and may be null, empty or of any length. An empty table
     gives none. All columns are passed on; one that is named mix_position is replaced.
     """
+    settle(spark)
     own = [c for c in docs.columns if c.lower() != "mix_position"]
     mixed = mixing.mix(docs, mixing.WEIGHTS, mixing.BLOCK_ROWS).select(*own, "mix_position")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -69,6 +73,7 @@ def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null text counts as empty; texts of any length are encoded as a whole. Repeated rows give repeated results, rows
     without doc_id keep theirs, and an empty table gives none. Other columns are left out.
     """
+    settle(spark)
     return bpe.digests(docs, vocabulary_path(), keep=("lang", "source", "mix_position"))
 
 

@@ -22,6 +22,8 @@ SALTS = 64
 _BATCH, _DEFAULT, _BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16m"
 #: A driver's garbage is collected this many seconds after the last time at the earliest.
 SETTLE_S = 3.0
+#: The JVM's bean of diagnostic commands, and its command that trims the native heap.
+_COMMANDS, _TRIM = "com.sun.management:type=DiagnosticCommand", "systemTrimNativeHeap"
 _settled = [0.0]
 
 
@@ -54,14 +56,32 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
 
 
 def settle(spark: SparkSession) -> None:
-    """Has the driver's JVM collect its garbage after a step. By itself it lets its heap grow to the limit first, with the plans and tasks
-    of steps that are over, and the shuffle files and broadcasts that these hold stay as long."""
+    """Has the driver's JVM collect its garbage after a step, and hand the native memory that is free back to the system. By itself it lets
+    its heap grow to the limit first, with the plans and tasks of steps that are over, and the shuffle files and broadcasts that
+    these hold stay as long; and what its compilers, decompressors and buffers have freed stays with the C library's allocator."""
     if time.monotonic() - _settled[0] >= SETTLE_S:
         gc.collect()  # Python's references to the JVM's objects
         spark.sparkContext._jvm.System.gc()
+        _trim(spark)
         _settled[0] = time.monotonic()
 
 
+def _trim(spark: SparkSession) -> None:
+    """malloc_trim in the driver's JVM, where it has a command for that (on Linux with glibc, from Java 17.0.9 on)."""
+    gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
+    beans, name = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), jvm.javax.management.ObjectName(_COMMANDS)
+    called = {m.getName(): m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() in ("isRegistered", "getMBeanInfo", "invoke")}
+
+    def call(method: str, *given):  # by the interface, as the server's own class isn't open to reflection
+        args = gateway.new_array(jvm.java.lang.Object, len(given))
+        for i, x in enumerate(given):
+            args[i] = x
+        return called[method].invoke(beans, args)
+
+    if call("isRegistered", name) and any(x.getName() == _TRIM for x in call("getMBeanInfo", name).getOperations()):
+        call("invoke", name, _TRIM, None, None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: its lineage ends there, and lost executors cost nothing."""
     return stored_at(df, name)[0]
