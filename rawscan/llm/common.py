@@ -61,11 +61,27 @@ def settle(spark: SparkSession) -> None:
     these hold stay as long; and what its compilers, decompressors and buffers have freed stays with the C library's allocator."""
     if time.monotonic() - _settled[0] >= SETTLE_S:
         gc.collect()  # Python's references to the JVM's objects
+        _detach(spark)
         spark.sparkContext._jvm.System.gc()
         _trim(spark)
         _settled[0] = time.monotonic()
 
 
+def _detach(spark: SparkSession) -> None:
+    """Tells the JVM which of its objects Python has let go of; py4j's own thread does so up to a second later."""
+    pending = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None)
+    while pending:
+        try:
+            task = pending.pop()
+        except IndexError:  # that thread was faster
+            return
+        if not isinstance(task, tuple):  # the sign for that thread to end
+            pending.appendleft(task)
+            return
+        client, target = task
+        client.garbage_collect_object(target, False)
+
+
 def _trim(spark: SparkSession) -> None:
     """malloc_trim in the driver's JVM, where it has a command for that (on Linux with glibc, from Java 17.0.9 on)."""
     gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm

@@ -20,6 +20,17 @@ def test_garbage_of_a_step_is_collected_once_it_is_stored(spark, tmp_path, monke
     assert left.get() is None
 
 
+def test_what_python_lets_go_of_just_before_is_collected(spark, monkeypatch):
+    jvm = spark.sparkContext._jvm
+    for _ in range(3):
+        thing = jvm.java.lang.Object()
+        left = jvm.java.lang.ref.WeakReference(thing)
+        del thing
+        monkeypatch.setattr(common, "_settled", [float("-inf")])
+        common.settle(spark)
+        assert left.get() is None
+
+
 def test_free_native_memory_goes_back_to_the_system(spark, monkeypatch):
     jvm = spark.sparkContext._jvm
     said = Path(f"/proc/{jvm.java.lang.ProcessHandle.current().pid()}/smaps_rollup")
